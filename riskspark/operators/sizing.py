@@ -1,0 +1,23 @@
+"""Size checks that need no job: Catalyst's own estimate of a plan's output."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's estimate, which never undercuts a scan: filters and aggregates keep
+    their input's size and joins multiply. None where it cannot be asked."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return None
+
+
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    """Small enough for one task to hold; operators then take their short plan, and the
+    distributed plan of the same exact result otherwise."""
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
