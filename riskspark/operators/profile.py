@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,31 +80,31 @@ def class_distribution(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     )
 
 
-def amount_summary(df: DataFrame, amount: str = "amt") -> DataFrame:
+def amount_summary(df: DataFrame, amount: str = "amt", digits: int = 2) -> DataFrame:
     """Minimum, quartiles, mean, p99 and maximum."""
     q = quantiles(df, amount, {"p25": 0.25, "median": 0.5, "p75": 0.75, "p99": 0.99})
     picked = q.select(F.struct("*")).scalar()
     row = df.agg(F.min(amount).alias("min"), F.avg(amount).alias("mean"), F.max(amount).alias("max"))
     return row.select(
-        half_even(F.col("min"), 2).alias("min"),
-        *[half_even(picked[c], 2).alias(c) for c in ("p25", "median")],
-        half_even(F.col("mean"), 2).alias("mean"),
-        *[half_even(picked[c], 2).alias(c) for c in ("p75", "p99")],
-        half_even(F.col("max"), 2).alias("max"),
+        half_even(F.col("min"), digits).alias("min"),
+        *[half_even(picked[c], digits).alias(c) for c in ("p25", "median")],
+        half_even(F.col("mean"), digits).alias("mean"),
+        *[half_even(picked[c], digits).alias(c) for c in ("p75", "p99")],
+        half_even(F.col("max"), digits).alias("max"),
     )
 
 
 CLASS_PROBS = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
-def class_amount_stats(df: DataFrame, label: str = "is_fraud", amount: str = "amt") -> DataFrame:
+def class_amount_stats(df: DataFrame, label: str = "is_fraud", amount: str = "amt", digits: int = 2) -> DataFrame:
     """Ten statistics of the amount per class (sample standard deviation)."""
     moments = df.groupBy(label).agg(
         F.avg(amount).alias("mean"), F.stddev_samp(amount).alias("std"), F.min(amount).alias("min"), F.max(amount).alias("max")
     )
     q = quantiles(df, amount, CLASS_PROBS, by=(label,))
     stats = ("mean", "std", "min", *CLASS_PROBS, "max")
-    return moments.join(q, label).select(label, *[half_even(F.col(s), 2).alias(s) for s in stats])
+    return moments.join(q, label).select(label, *[half_even(F.col(s), digits).alias(s) for s in stats])
 
 
 def class_amount_ratios(stats: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -170,16 +171,14 @@ def label_correlations(df: DataFrame, features: Sequence[str] = FEATURES, label:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = (*FEATURES, "is_fraud")) -> DataFrame:
-    """All pairs (long form, both triangles) from one aggregation over the data."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[
-        half_even(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), 4).alias(f"{a}|{b}") for a, b in pairs
-    ])
-    cells = [
-        F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"`{a}|{b}`").alias("correlation"))
-        for a, b in pairs for x, y in ({(a, b), (b, a)})
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    """All pairs in long form. The Gramian is summed per task and only the matrix of column
+    pairs (its size set by the column list, not the data) comes back."""
+    inputs = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(inputs)
+    matrix = Correlation.corr(vectors, "v").head()[0].toArray()
+    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    long = df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, correlation double")
+    return long.withColumn("correlation", half_even(F.col("correlation"), 4))
 
 
 def log_histogram(df: DataFrame, bins: int = 40, label: str = "is_fraud", amount: str = "amt") -> DataFrame:
