@@ -9,7 +9,9 @@ SMALL_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's estimate, which never undercuts a scan: filters and aggregates keep
-    their input's size and joins multiply. None where it cannot be asked."""
+    their input's size and joins multiply. None where there is none, as for a stream."""
+    if df.isStreaming:
+        return None
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:

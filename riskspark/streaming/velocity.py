@@ -1,0 +1,79 @@
+"""Velocity on a stream: every micro-batch is counted against the last day of history.
+
+Keyed state would put all rows of a hot card into one task. Instead each batch
+runs the batch operator (hot cards are sliced by time) with a history table as
+context. The history, the output and the late rows of a batch live in folders
+named after the batch, so a repeated batch overwrites its own work.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from riskspark.operators.clean import keep_first
+from riskspark.operators.velocity import WINDOWS, card_velocity
+from riskspark.sources.store import path_exists
+
+NARROW = ("trans_num", "trans_ts", "cc_num", "amt")
+
+
+@dataclass
+class VelocityStream:
+    """Tables below ``path``: velocity (results), history, late, progress."""
+
+    path: str
+    delay_seconds: int = 3600
+
+    def table(self, name: str) -> str:
+        return f"{self.path}/{name}"
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = self._newest(spark, batch_id)
+        rows = keep_first(batch, "trans_num", ("trans_ts",))
+        if seen is not None:
+            limit = F.timestamp_micros(F.lit(seen - self.delay_seconds * 1_000_000))
+            late = rows.where(F.col("trans_ts") < limit)
+            late.write.mode("overwrite").parquet(self._of("late", batch_id))
+            context = self._history(spark, batch_id, seen)
+            rows = rows.where(F.col("trans_ts") >= limit).join(context.select("trans_num"), "trans_num", "left_anti")
+        else:
+            context = None
+        counted = card_velocity(rows, history=context)
+        counted.write.mode("overwrite").parquet(self._of("velocity", batch_id))
+        written = spark.read.parquet(self._of("velocity", batch_id))
+        (
+            written.select(*NARROW, F.to_date("trans_ts").alias("day"))
+            .write.mode("overwrite").partitionBy("day").parquet(self._of("history", batch_id))
+        )
+        newest = written.agg(F.max(F.unix_micros("trans_ts")).alias("newest"))
+        newest.write.mode("overwrite").parquet(self._of("progress", batch_id))
+
+    def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        return (
+            stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+
+    def _of(self, name: str, batch_id: int) -> str:
+        return f"{self.table(name)}/batch={batch_id}"
+
+    def _newest(self, spark, batch_id: int) -> int | None:
+        """Greatest event time of the earlier batches, in microseconds."""
+        if not path_exists(spark, self.table("progress")):
+            return None
+        earlier = spark.read.parquet(self.table("progress")).where(F.col("batch") < batch_id)
+        return earlier.agg(F.max("newest")).first()[0]
+
+    def _history(self, spark, batch_id: int, seen: int) -> DataFrame:
+        """Rows that can still be in a window of an on-time row; older days are never read."""
+        reach = self.delay_seconds + max(WINDOWS.values())
+        since = F.timestamp_micros(F.lit(seen - reach * 1_000_000))
+        table = spark.read.parquet(self.table("history"))
+        return table.where(
+            (F.col("batch") < batch_id) & (F.col("day") >= F.to_date(since)) & (F.col("trans_ts") >= since)
+        ).select(*NARROW)
