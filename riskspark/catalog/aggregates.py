@@ -12,6 +12,7 @@ from riskspark.functions.numeric import half_even
 from riskspark.operators import features as FE
 from riskspark.operators import profile as P
 from riskspark.operators.fusion import anomaly_flag
+from riskspark.operators.quantiles import quantiles
 from riskspark.operators.rules import BEHAVIOUR_SIGNALS, signal_counts
 from riskspark.sources.fixtures import order_txn
 
@@ -39,6 +40,13 @@ def category_median(spark, sf_dir):
     return FE.category_medians(txn(spark, sf_dir)).withColumn("category_median", half_even(F.col("category_median"), 4))
 
 
+@query("ag03b_category_median_distributed", f"WITH {S.TXN} SELECT category, {S.r('quantile_cont(amt, 0.5)', 4)} AS category_median FROM txn GROUP BY category")
+def category_median_distributed(spark, sf_dir):
+    """The plan for groups too large for one task."""
+    out = quantiles(txn(spark, sf_dir), "amt", {"category_median": 0.5}, by=("category",), small=False)
+    return out.withColumn("category_median", half_even(F.col("category_median"), 4))
+
+
 @query("ag04_category_fraud_rate", f"WITH {S.TXN} SELECT category, {S.r('avg(is_fraud)', 6)} AS category_rate, count(*) AS category_rows FROM txn GROUP BY category")
 def category_rate(spark, sf_dir):
     return FE.category_rates(txn(spark, sf_dir)).withColumn("category_rate", half_even(F.col("category_rate"), 6))

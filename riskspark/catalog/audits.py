@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.catalog import sql as S
 from riskspark.catalog.joins import _OVERLAPPING, _with_overlap
 from riskspark.catalog.registry import query
-from riskspark.catalog.views import features, split_txn, txn_dense
+from riskspark.catalog.views import split_txn, stored_split, txn_dense
 from riskspark.config import FEATURES
 from riskspark.operators import audit
 from riskspark.operators.features import Baselines, add_features, global_baselines
@@ -29,7 +29,7 @@ TRAIN_FEAT = _TRAIN + S.features("train")
 
 
 def train_features(spark, sf_dir):
-    train = split_txn(spark, sf_dir).where("split = 'train'")
+    train = stored_split(spark, sf_dir).where("split = 'train'")
     return add_features(train, Baselines.fit(train))
 
 
@@ -50,7 +50,7 @@ def label_correlation(spark, sf_dir):
 )
 def fit_isolation(spark, sf_dir):
     """Baselines fitted on the training rows pass, baselines fitted on everything do not."""
-    parts = split_txn(spark, sf_dir)
+    parts = stored_split(spark, sf_dir)
     train = parts.where("split = 'train'")
     good = audit.fit_isolation(train, global_baselines(train)).withColumn("fitted_on", F.lit("train"))
     bad = audit.fit_isolation(train, global_baselines(parts)).withColumn("fitted_on", F.lit("all"))
@@ -91,7 +91,7 @@ def prevalence(spark, sf_dir):
     "SELECT * FROM k UNION ALL SELECT 'overall_audit_passed', bool_and(passed) FROM k",
 )
 def report(spark, sf_dir):
-    parts = split_txn(spark, sf_dir)
+    parts = stored_split(spark, sf_dir)
     train = parts.where("split = 'train'")
     base = Baselines.fit(train)
     return audit.audit_report(parts, add_features(train, base), base.globals_, F.lit(_CUT).cast("timestamp"))

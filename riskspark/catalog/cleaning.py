@@ -10,7 +10,7 @@ from riskspark.catalog.views import features, split_txn, txn, txn_dirty
 from riskspark.functions.numeric import half_even
 from riskspark.functions.text import mask_card
 from riskspark.operators import clean as C
-from riskspark.operators.split import seeded_sample, split_summary
+from riskspark.operators.split import seeded_sample, split_summary, stratified_split
 
 ORDER = ("event_id", "copy_no")
 
@@ -137,6 +137,13 @@ def stratified(spark, sf_dir):
     return split_txn(spark, sf_dir).select("trans_num", "is_fraud", "split")
 
 
+@query("sp01b_split_distributed", f"WITH {S.SPLIT} SELECT trans_num, is_fraud, split FROM parts")
+def stratified_distributed(spark, sf_dir):
+    """The plan for classes too large for one task: thresholds on the hash, no shuffle of the rows."""
+    valid = C.drop_bad_coordinates(C.drop_bad_amounts(txn(spark, sf_dir)))
+    return stratified_split(valid, small=False).select("trans_num", "is_fraud", "split")
+
+
 @query(
     "sp02_split_summary",
     f"WITH {S.SPLIT} SELECT split, count(*) AS total_rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, "

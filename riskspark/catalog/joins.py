@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskspark.catalog import sql as S
 from riskspark.catalog.registry import query
-from riskspark.catalog.views import components, features, probabilities, split_txn, txn
+from riskspark.catalog.views import features, probabilities, split_txn, stored_split, txn
 from riskspark.config import simplex_weights
 from riskspark.functions.numeric import half_even
 from riskspark.operators import audit
@@ -21,7 +23,7 @@ _TRAIN_BASE = S.SPLIT + ", train AS (SELECT * FROM parts WHERE split = 'train'),
 
 def _fitted(spark, sf_dir):
     """Baselines of the training split and the held-out rows."""
-    parts = split_txn(spark, sf_dir)
+    parts = stored_split(spark, sf_dir)
     return Baselines.fit(parts.where("split = 'train'")), parts.where("split = 'test'")
 
 
@@ -34,6 +36,18 @@ def card_lookup(spark, sf_dir):
     return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 6).alias("card_mean"))
 
 
+@query(
+    "jn01b_card_mean_hot_keys",
+    f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(card_mean, global_mean)', 6)} AS card_mean FROM test LEFT JOIN cards USING (cc_num) CROSS JOIN gbase",
+)
+def card_lookup_spread(spark, sf_dir):
+    """The plan for lookups too large to broadcast: hot cards apart, the rest in a shuffle join."""
+    parts = stored_split(spark, sf_dir)
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    base = replace(Baselines.fit(train), small_cards=False, hot_rows=20)
+    return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 6).alias("card_mean"))
+
+
 @query(
     "jn02_category_median_lookup",
     f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(category_median, global_median)', 4)} AS category_median FROM test LEFT JOIN cats USING (category) CROSS JOIN gbase",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.catalog import sql as S
 from riskspark.catalog.functions import CALIBRATED, calibrated
 from riskspark.catalog.registry import query
-from riskspark.catalog.views import split_txn
+from riskspark.catalog.views import split_txn, stored_split
 from riskspark.config import ANOMALY_FEATURES, FEATURES
 from riskspark.functions.numeric import half_even
 from riskspark.ml import attribution, iforest, supervised
@@ -21,7 +21,7 @@ LINEAR_FEATURES = ("amt", "haversine_distance_km", "amt_to_user_avg_ratio", "hou
 
 def _featured(spark, sf_dir):
     """Split rows with features of baselines fitted on the training split; kept, as every model reads them."""
-    parts = split_txn(spark, sf_dir)
+    parts = stored_split(spark, sf_dir)
     base = Baselines.fit(parts.where("split = 'train'"))
     df = add_features(parts, base, scope=("split",)).select("trans_num", "is_fraud", "split", "category", *FEATURES).persist()
     return df.where("split = 'train'"), df.where("split = 'val'")

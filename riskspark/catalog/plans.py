@@ -9,11 +9,11 @@ from riskspark.catalog.aggregates import TIER_ALLOCATION
 from riskspark.catalog.cleaning import _IMPUTED
 from riskspark.catalog.functions import ANOMALY_REASON, REASONS, _actions
 from riskspark.catalog.registry import query
-from riskspark.catalog.views import components, features, scored, split_txn, txn, txn_dirty, with_surrogates
+from riskspark.catalog.views import components, features, scored, stored_split, txn, txn_dirty, with_surrogates
 from riskspark.config import FEATURES, FROZEN_FUSION
 from riskspark.functions.numeric import half_even
 from riskspark.ml import supervised
-from riskspark.operators.features import Baselines, add_features
+from riskspark.operators.features import Baselines, add_features, row_features
 from riskspark.operators.profile import tier_allocation
 from riskspark.operators.rules import apply_signals
 from riskspark.operators.fusion import apply_fusion
@@ -90,7 +90,7 @@ _U, _FP, _FN = "(tp_amt + fn_amt + (tp + fn) * 20)", "(fp_amt * 0.2::DOUBLE + fp
 )
 def evaluation(spark, sf_dir):
     """Frozen weights and cut-off on the held-out split, with the surrogate scores."""
-    parts = split_txn(spark, sf_dir)
+    parts = stored_split(spark, sf_dir)
     base = Baselines.fit(parts.where("split = 'train'"))
     test = add_features(parts.where("split = 'test'"), base, scope=("split",))
     return jobs.held_out_evaluation(jobs.score_table(with_surrogates(test), details=False))
@@ -109,3 +109,23 @@ def explanations(spark, sf_dir):
         "anomaly_explanation", F.array_join("behavioral_signals.signal", "; ").alias("signals"),
         F.col("score_breakdown.ml_contribution").alias("ml_contribution"), F.array_join("explanation_summary", " | ").alias("reasons"),
     )
+
+
+_STATED = "(trans_num::BIGINT % 400)::DOUBLE"
+
+
+@query(
+    "jb06b_requests",
+    f"""WITH {S.TXN}, q AS (SELECT trans_num, CASE WHEN trans_num::BIGINT % 6 <> 0 THEN CAST(hour(trans_ts) AS INTEGER) END AS h,
+      32.7767::DOUBLE AS lat, -96.797::DOUBLE AS long, 32.7767::DOUBLE + {_STATED} / 111 AS merch_lat, -96.797::DOUBLE AS merch_long FROM txn){S.distance('q')}
+    SELECT trans_num, coalesce(h, 14) AS hour, 3 AS day_of_week, CASE WHEN coalesce(h, 14) <= 5 THEN 1 ELSE 0 END AS is_night_transaction,
+      {S.r('haversine_distance_km', 6)} AS haversine_distance_km FROM dist""",
+)
+def requests(spark, sf_dir):
+    """Rows reduced to what a request states: an hour (or none) and a distance."""
+    e = F.col("trans_num").cast("bigint")
+    stated = txn(spark, sf_dir).select(
+        "trans_num", F.when(e % 6 != 0, F.hour("trans_ts")).alias("hour"), (e % 400).cast("double").alias("haversine_distance_km")
+    )
+    out = row_features(jobs.request_table(stated))
+    return out.select("trans_num", "hour", "day_of_week", "is_night_transaction", _rounded("haversine_distance_km"))

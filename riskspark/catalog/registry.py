@@ -35,9 +35,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from importlib.util import find_spec
     for group in GROUPS:
-        if find_spec(f"riskspark.catalog.{group}"): import_module(f"riskspark.catalog.{group}")
+        import_module(f"riskspark.catalog.{group}")
 
 
 def queries() -> dict[str, Query]:

@@ -13,6 +13,8 @@ from riskspark.operators.features import Baselines, add_features
 from riskspark.operators.fusion import apply_fusion
 from riskspark.operators.rules import apply_signals
 from riskspark.operators.split import stratified_split
+from riskspark.session import shared_folder
+from riskspark.sources import store
 from riskspark.sources.fixtures import txn, txn_dense, txn_dirty
 
 __all__ = ["txn", "txn_dense", "txn_dirty"]
@@ -24,6 +26,13 @@ def split_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(drop_bad_coordinates(drop_bad_amounts(txn(spark, sf_dir))))
 
 
+def stored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a written table, for jobs that fit on one split and apply to others."""
+    path = shared_folder(spark, "split")
+    store.write_splits(split_txn(spark, sf_dir), path)
+    return store.read_split(spark, path)
+
+
 def features(spark: SparkSession, sf_dir: str, velocity: bool = True) -> DataFrame:
     """Features fitted and applied on the same rows."""
     df = txn(spark, sf_dir)
@@ -50,7 +59,7 @@ def with_surrogates(df: DataFrame) -> DataFrame:
 
 def probabilities(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
     """Surrogate probability and anomaly score; only what they need is computed."""
-    df = split_txn(spark, sf_dir) if split else txn(spark, sf_dir)
+    df = stored_split(spark, sf_dir) if split else txn(spark, sf_dir)
     km = haversine_km(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long"))
     fitted = Baselines.fit(df).with_cards(df.withColumn("haversine_distance_km", km))
     ratio = F.col("amt") / (F.col("card_mean") + F.lit(1e-5))

@@ -103,8 +103,8 @@ class Baselines:
         )
 
     def fallback(self, name: str) -> Column:
-        """A global baseline as a scalar."""
-        return self.globals_.select(name).scalar()
+        """A global baseline as a scalar; all of them come from one subquery."""
+        return self.globals_.select(F.struct("global_mean", "global_median", "global_rate")).scalar()[name]
 
     # -- joins ---------------------------------------------------------------
 

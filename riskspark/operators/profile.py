@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from riskspark.config import ANOMALY_BANDS, FEATURES, TIERS
 from riskspark.functions.calendar import is_night
 from riskspark.functions.numeric import half_even, percent
+from riskspark.operators.lookups import fits
 from riskspark.operators.quantiles import quantiles
+from riskspark.operators.sizing import is_small
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -215,7 +217,9 @@ def linear_histogram(df: DataFrame, value: str, bins: int = 40, low: float = 0.0
 def box_plot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, mean, whisker ends (most extreme values within 1.5 IQR) and outlier count per group."""
     by = list(by)
-    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=tuple(by))
+    small = is_small(df)
+    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=tuple(by), small=small)
+    q = F.broadcast(q) if small or fits(q.persist()) else q
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col(value) >= F.col("q1") - iqr * 1.5) & (F.col(value) <= F.col("q3") + iqr * 1.5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.config import FROZEN_FUSION, UNIT_FUSION, WITH_OPERATIONS, WITHOUT_OPERATIONS, FusionConfig, simplex_weights
@@ -14,7 +14,7 @@ from riskspark.ml import supervised
 from riskspark.ml.attribution import explain
 from riskspark.ml.iforest import IsolationForest
 from riskspark.operators import fusion
-from riskspark.operators.clean import clean
+from riskspark.operators.clean import clean, fill_coordinates, infer_night_flag
 from riskspark.operators.cost import cheapest, policy_comparison, sweep
 from riskspark.operators.explain import top_factors
 from riskspark.operators.features import Baselines, add_features
@@ -22,6 +22,8 @@ from riskspark.operators.metrics import best_weights, comprehensive_metrics, err
 from riskspark.operators.profile import tier_allocation
 from riskspark.operators.rules import apply_rules, apply_signals
 from riskspark.operators.split import stratified_split
+from riskspark.session import shared_folder
+from riskspark.sources import store
 
 
 @dataclass
@@ -36,8 +38,13 @@ class Prepared:
         return add_features(self.table, self.baselines, scope=("split",))
 
 
-def preprocess(raw: DataFrame, order: tuple[str, ...] = ()) -> Prepared:
-    table = stratified_split(clean(raw, order=order))
+def preprocess(raw: DataFrame, order: tuple[str, ...] = (), path: str | None = None) -> Prepared:
+    """The split table is written once (below the shared folder unless ``path`` says where), so fits and
+    features read files, by split, instead of cleaning again."""
+    spark = raw.sparkSession
+    path = path or shared_folder(spark, "prepared")
+    store.write_splits(stratified_split(clean(raw, order=order)), path)
+    table = store.read_split(spark, path)
     return Prepared(table, Baselines.fit(table.where(F.col("split") == "train")))
 
 
@@ -136,10 +143,18 @@ def train(
     return Trained(model, forest, cfg, prepared.baselines, report, swept)
 
 
-def request_table(df: DataFrame, distance: Column | None = None) -> DataFrame:
-    """Request rows made scorable: the night flag inferred, coordinates filled, time from the hour.
-    A supplied distance only places the merchant; distance is recomputed from coordinates."""
-    from riskspark.operators.clean import fill_coordinates, infer_night_flag
+# The day and hour of a request that names no time.
+REQUEST_DAY, DEFAULT_HOUR = (2026, 8, 27), 14
 
-    out = infer_night_flag(df) if {"hour", "is_night_transaction"} <= set(df.columns) else df
-    return fill_coordinates(out if distance is None else out.withColumn("haversine_distance_km", distance))
+
+def request_table(df: DataFrame) -> DataFrame:
+    """Request rows made scorable: the night flag inferred, coordinates filled, the time set to half
+    past the stated hour of a fixed day. A stated distance only places the merchant; the distance
+    feature is recomputed from the coordinates."""
+    have = set(df.columns)
+    out = infer_night_flag(df) if {"hour", "is_night_transaction"} <= have else df
+    if "trans_ts" not in have:
+        hour = F.coalesce(F.col("hour"), F.lit(DEFAULT_HOUR)) if "hour" in have else F.lit(DEFAULT_HOUR)
+        day = [F.lit(part) for part in REQUEST_DAY]
+        out = out.withColumn("trans_ts", F.make_timestamp(*day, hour, F.lit(30), F.lit(0)))
+    return fill_coordinates(out)

@@ -34,7 +34,9 @@ class VelocityStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = self._newest(spark, batch_id)
-        rows = keep_first(batch, "trans_num", ("trans_ts",))
+        # read twice below: for the late rows and for the others
+        rows = keep_first(batch, "trans_num", ("trans_ts",)).persist()
+        kept = rows
         if seen is not None:
             limit = F.timestamp_micros(F.lit(seen - self.delay_seconds * 1_000_000))
             late = rows.where(F.col("trans_ts") < limit)
@@ -52,6 +54,7 @@ class VelocityStream:
         )
         newest = written.agg(F.max(F.unix_micros("trans_ts")).alias("newest"))
         newest.write.mode("overwrite").parquet(self._of("progress", batch_id))
+        kept.unpersist()
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return (

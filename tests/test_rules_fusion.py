@@ -143,3 +143,11 @@ def test_result_record(spark, txns):
         b = r.score_breakdown
         assert abs(b.hybrid_score - min(100, b.ml_contribution + b.anomaly_contribution + b.behavioral_contribution)) <= 0.52
         assert r.explanation_summary and r.risk_level in ("LOW RISK", "MEDIUM RISK", "HIGH RISK")
+
+
+def test_requests_become_scorable(spark):
+    df = spark.createDataFrame([(1.0, 3, 111.0, None), (1.0, None, None, 0)], "amt double, hour int, haversine_distance_km double, is_night_transaction int")
+    night, plain = jobs.request_table(df).collect()
+    assert night.is_night_transaction == 1 and night.merch_lat == pytest.approx(night.lat + 1)
+    assert (night.trans_ts.isoformat(), plain.trans_ts.hour) == ("2026-08-27T03:30:00", 14)
+    assert night.trans_ts.weekday() == 3  # the fixed day is a Thursday
