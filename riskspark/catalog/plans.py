@@ -17,7 +17,7 @@ from riskspark.operators.features import Baselines, add_features, row_features
 from riskspark.operators.profile import tier_allocation
 from riskspark.operators.rules import apply_signals
 from riskspark.operators.fusion import apply_fusion
-from riskspark.plans import jobs
+from riskspark.plans import jobs, scenarios
 
 _ROUNDED = ("haversine_distance_km", "amt_to_user_avg_ratio", "amt_to_cat_median_ratio", "category_fraud_rate")
 
@@ -129,3 +129,22 @@ def requests(spark, sf_dir):
     )
     out = row_features(jobs.request_table(stated))
     return out.select("trans_num", "hour", "day_of_week", "is_night_transaction", _rounded("haversine_distance_km"))
+
+
+_CASES = ", ".join(f"('{n}', '{t}', {', '.join(f'{float(v)!r}::DOUBLE' for v in vs)})" for n, t, vs in scenarios.SCENARIOS)
+
+
+@query(
+    "jb07_scenarios",
+    f"""WITH {S.TXN}, sc(scenario, expected_tier, {', '.join(scenarios.FIELDS)}) AS (VALUES {_CASES}),
+    feat AS (SELECT trans_num, amt, category, is_fraud, sc.* FROM txn CROSS JOIN sc){S.SEVERITIES}{S.surrogates('sig', 'comp')},
+    hs AS (SELECT *, {S.fused('0.5::DOUBLE', '0.25::DOUBLE', '0.25::DOUBLE')} AS hybrid_score FROM comp)
+    SELECT scenario, expected_tier, {S.tier()} AS risk_level, count(*) AS total, {S.r('avg(behavioral_score)', 4)} AS mean_behaviour FROM hs GROUP BY ALL""",
+)
+def scenario_tiers(spark, sf_dir):
+    """Tier counts per scenario over all amounts and categories of the table."""
+    df = scenarios.with_scenarios(txn(spark, sf_dir).select("trans_num", "amt", "category", "is_fraud"))
+    out = jobs.score_table(with_surrogates(df), details=False)
+    return out.groupBy("scenario", "expected_tier", "risk_level").agg(
+        F.count(F.lit(1)).alias("total"), half_even(F.avg("behavioral_score"), 4).alias("mean_behaviour")
+    )

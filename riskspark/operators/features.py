@@ -57,10 +57,10 @@ class Baselines:
     globals_: DataFrame
     small_cards: bool
     small_categories: bool
-    hot_rows: int = lookups.HOT_ROWS
+    hot_rows: int | None = None
 
     @classmethod
-    def fit(cls, df: DataFrame, broadcast_rows: int = lookups.BROADCAST_ROWS, hot_rows: int = lookups.HOT_ROWS) -> "Baselines":
+    def fit(cls, df: DataFrame, broadcast_rows: int | None = None, hot_rows: int | None = None) -> "Baselines":
         """Lookups of a small frame are small. Otherwise they are kept (memory, then disk) and their
         sizes checked, which decides how they are joined."""
         small = is_small(df)
@@ -95,7 +95,7 @@ class Baselines:
         self.globals_.write.mode("overwrite").parquet(f"{path}/globals")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, broadcast_rows: int = lookups.BROADCAST_ROWS) -> "Baselines":
+    def load(cls, spark: SparkSession, path: str, broadcast_rows: int | None = None) -> "Baselines":
         cards, categories = spark.read.parquet(f"{path}/cards"), spark.read.parquet(f"{path}/categories")
         return cls(
             cards, categories, spark.read.parquet(f"{path}/globals"),

@@ -11,16 +11,17 @@ HOT_KEYS = 10_000
 SALTS = 64
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+def fits(df: DataFrame, rows: int | None = None) -> bool:
     """Does the table hold at most ``rows`` rows? Reads no more than that from any partition."""
-    return df.limit(rows + 1).count() <= rows
+    rows = BROADCAST_ROWS if rows is None else rows
+    return df.limit(max(rows, 0) + 1).count() <= rows
 
 
-def hot_keys(df: DataFrame, key: str, rows_column: str, hot_rows: int = HOT_ROWS, keys: int = HOT_KEYS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, rows_column: str, hot_rows: int | None = None, keys: int = HOT_KEYS) -> DataFrame:
     """The heaviest keys above ``hot_rows``. At most ``keys`` of them, so broadcasting them is bounded;
     callers must be exact for any choice of hot keys."""
     return (
-        df.where(F.col(rows_column) >= hot_rows)
+        df.where(F.col(rows_column) >= (HOT_ROWS if hot_rows is None else hot_rows))
         .orderBy(F.col(rows_column).desc(), F.col(key))
         .limit(keys)
     )
@@ -33,7 +34,7 @@ def lookup_join(
     small: bool,
     rows_column: str | None = None,
     salt_by: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Left join of a table with one row per key.
 

@@ -18,8 +18,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
     """Small enough for one task to hold; operators then take their short plan, and the
     distributed plan of the same exact result otherwise."""
     size = estimated_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= (SMALL_BYTES if limit is None else limit)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.operators.lookups import HOT_ROWS, hot_keys
+from riskspark.operators.lookups import hot_keys
 from riskspark.operators.sizing import is_small
 
 # Feature name and trailing seconds.
@@ -35,7 +35,7 @@ def card_velocity(
     amount: str = "amt",
     scope: tuple[str, ...] = (),
     history: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     slice_seconds: int = 3600,
     small: bool | None = None,
 ) -> DataFrame:

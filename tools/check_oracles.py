@@ -1,6 +1,8 @@
 """Run registered queries next to their SQL oracles and compare rows, columns and values.
 
-    python tools/check_oracles.py [sf_dir] [name or prefix ...]
+    python tools/check_oracles.py [--distributed] [sf_dir] [name or prefix ...]
+
+With --distributed no input counts as small, so every operator takes its distributed plan.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import pandas as pd
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from riskspark.catalog import oracles, queries  # noqa: E402
+from riskspark.operators import lookups, sizing  # noqa: E402
 from riskspark.session import local_session  # noqa: E402
 
 
@@ -41,8 +44,12 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = tuple(sys.argv[2:])
+    words = [w for w in sys.argv[1:] if w != "--distributed"]
+    if len(words) < len(sys.argv) - 1:
+        sizing.SMALL_BYTES = -1
+        lookups.BROADCAST_ROWS, lookups.HOT_ROWS = -1, 20
+    sf_dir = words[0] if words else "/root/testdata/sf0.01"
+    wanted = tuple(words[1:])
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
