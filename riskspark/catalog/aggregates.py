@@ -30,9 +30,9 @@ def global_baselines(spark, sf_dir):
     )
 
 
-@query("ag02_card_mean", f"WITH {S.TXN} SELECT cc_num, {S.r('avg(amt)', 6)} AS card_mean, count(*) AS card_rows FROM txn GROUP BY cc_num")
+@query("ag02_card_mean", f"WITH {S.TXN} SELECT cc_num, {S.r('avg(amt)', 8)} AS card_mean, count(*) AS card_rows FROM txn GROUP BY cc_num")
 def card_mean(spark, sf_dir):
-    return FE.card_means(txn(spark, sf_dir)).withColumn("card_mean", half_even(F.col("card_mean"), 6))
+    return FE.card_means(txn(spark, sf_dir)).withColumn("card_mean", half_even(F.col("card_mean"), 8))
 
 
 @query("ag03_category_median", f"WITH {S.TXN} SELECT category, {S.r('quantile_cont(amt, 0.5)', 4)} AS category_median FROM txn GROUP BY category")

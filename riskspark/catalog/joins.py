@@ -29,23 +29,23 @@ def _fitted(spark, sf_dir):
 
 @query(
     "jn01_card_mean_lookup",
-    f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(card_mean, global_mean)', 6)} AS card_mean FROM test LEFT JOIN cards USING (cc_num) CROSS JOIN gbase",
+    f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(card_mean, global_mean)', 8)} AS card_mean FROM test LEFT JOIN cards USING (cc_num) CROSS JOIN gbase",
 )
 def card_lookup(spark, sf_dir):
     base, test = _fitted(spark, sf_dir)
-    return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 6).alias("card_mean"))
+    return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 8).alias("card_mean"))
 
 
 @query(
     "jn01b_card_mean_hot_keys",
-    f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(card_mean, global_mean)', 6)} AS card_mean FROM test LEFT JOIN cards USING (cc_num) CROSS JOIN gbase",
+    f"WITH {_TRAIN_BASE} SELECT trans_num, {S.r('coalesce(card_mean, global_mean)', 8)} AS card_mean FROM test LEFT JOIN cards USING (cc_num) CROSS JOIN gbase",
 )
 def card_lookup_spread(spark, sf_dir):
     """The plan for lookups too large to broadcast: hot cards apart, the rest in a shuffle join."""
     parts = stored_split(spark, sf_dir)
     train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
     base = replace(Baselines.fit(train), small_cards=False, hot_rows=20)
-    return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 6).alias("card_mean"))
+    return base.with_cards(test).select("trans_num", half_even(F.col("card_mean"), 8).alias("card_mean"))
 
 
 @query(
