@@ -23,7 +23,7 @@ ROW = ("trans_num", "is_fraud", "amt", "category")
 
 
 def split_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(drop_bad_coordinates(drop_bad_amounts(txn(spark, sf_dir))))
+    return stratified_split(drop_bad_coordinates(drop_bad_amounts(txn(spark, sf_dir, parse_once=True))))
 
 
 def stored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def stored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str, velocity: bool = True) -> DataFrame:
     """Features fitted and applied on the same rows."""
-    df = txn(spark, sf_dir)
+    df = txn(spark, sf_dir, parse_once=True)
     return add_features(df, Baselines.fit(df), velocity=velocity)
 
 
@@ -59,7 +59,7 @@ def with_surrogates(df: DataFrame) -> DataFrame:
 
 def probabilities(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
     """Surrogate probability and anomaly score; only what they need is computed."""
-    df = stored_split(spark, sf_dir) if split else txn(spark, sf_dir)
+    df = stored_split(spark, sf_dir) if split else txn(spark, sf_dir, parse_once=True)
     km = haversine_km(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long"))
     fitted = Baselines.fit(df).with_cards(df.withColumn("haversine_distance_km", km))
     ratio = F.col("amt") / (F.col("card_mean") + F.lit(1e-5))

@@ -19,9 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card transactions derived from the event stream."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+def txn(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
+    """Card transactions derived from the event stream. With ``parse_once`` a generator keeps the
+    parsed property a column, where the optimizer would otherwise parse it once per use; without,
+    queries that need none of the derived columns do not read it at all."""
+    parsed = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.col("k") if parse_once else parsed
     user = F.col("user_id")
     category = F.create_map(*[F.lit(x) for pair in EVENT_CATEGORY.items() for x in pair])
     lat = F.lit(-60.0) + ((user * 7919) % 12000).cast("double") / 100.0
@@ -29,7 +32,10 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     born = F.make_date(
         (F.lit(1940) + (user * 31) % 70).cast("int"), (F.lit(1) + user % 12).cast("int"), (F.lit(1) + user % 28).cast("int")
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    if parse_once:
+        events = events.select("*", F.explode(F.array(parsed)).alias("k"))
+    return events.select(
         F.col("event_id").cast("string").alias("trans_num"),
         F.col("ts").cast("timestamp").alias("trans_ts"),
         user.alias("cc_num"),
