@@ -66,7 +66,11 @@ def load_splits(spark, sf_dir):
     return again.where(F.col("split") == "val").select("trans_num", "amt", "is_fraud")
 
 
-@query("io05_export_processed")
+@query(
+    "io05_export_processed",
+    f"WITH {S.SPLIT} SELECT split, count(*) AS total_rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_count, "
+    f"{S.r('sum(is_fraud)::DOUBLE / count(*) * 100', 2)} AS fraud_percent, (SELECT count(*) FROM valid) AS clean_rows FROM parts GROUP BY split",
+)
 def export_processed(spark, sf_dir):
     """Split table plus a JSON summary: cleaning log, split sizes."""
     path = shared_folder(spark, "processed")
@@ -96,7 +100,14 @@ def sweep_table(spark, sf_dir):
     return store.read_sweep(spark, path, swept.schema)
 
 
-@query("io07_metrics_json")
+_SIZES = f"tp + fp + fn + tn AS sample_size, tp + fn AS fraud_count, fp + tn AS legitimate_count, {S.r(S.div('tp + fn', 'tp + fp + fn + tn') + ' * 100', 2)} AS fraud_rate_percent"
+
+
+@query(
+    "io07_metrics_json",
+    f"WITH {S.PROBS}{S.confusion('probs', 'p_ml >= 0.5::DOUBLE')}{S.curve('probs', 'p_ml')}{S.area('curve')} SELECT 'surrogate' AS model_name, {_SIZES}, "
+    f"{S.PRECISION} AS precision, {S.RECALL} AS recall, {S.F1} AS f1_score, {S.F2} AS f2_score, pr_auc, roc_auc, {S.FPR} AS false_positive_rate, tp, fp, fn, tn FROM cm CROSS JOIN area",
+)
 def metrics_json(spark, sf_dir):
     path = shared_folder(spark, "metrics")
     df = probabilities(spark, sf_dir)
@@ -105,7 +116,11 @@ def metrics_json(spark, sf_dir):
     return store.read_metrics(spark, path, metrics.schema)
 
 
-@query("io08_saved_baselines")
+@query(
+    "io08_saved_baselines",
+    f"WITH {S.TXN}{S.baselines()} SELECT trans_num, {S.r('card_mean', 8)} AS card_mean, {S.r('category_median', 4)} AS category_median "
+    "FROM txn JOIN cards USING (cc_num) JOIN cats USING (category)",
+)
 def saved_baselines(spark, sf_dir):
     """Baselines fitted, saved, loaded and applied from the files."""
     path = shared_folder(spark, "baselines")
@@ -113,7 +128,7 @@ def saved_baselines(spark, sf_dir):
     Baselines.fit(df).save(path)
     loaded = Baselines.load(spark, path)
     joined = loaded.with_categories(loaded.with_cards(df))
-    return joined.select("trans_num", half_even(F.col("card_mean"), 4).alias("card_mean"), half_even(F.col("category_median"), 4).alias("category_median"))
+    return joined.select("trans_num", half_even(F.col("card_mean"), 8).alias("card_mean"), half_even(F.col("category_median"), 4).alias("category_median"))
 
 
 # Config documents keyed by deployment; one per transaction category, built from the table itself.

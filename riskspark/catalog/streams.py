@@ -89,7 +89,12 @@ def stream_tiers(spark, sf_dir):
     return _replay_scored(spark, sf_dir, path, scoring.tier_counts).select(F.unix_micros("window.start").alias("start_us"), "risk_level", "total", "fraud_count")
 
 
-@query("st04b_sliding_alerts")
+@query(
+    "st04b_sliding_alerts",
+    f"""WITH {_NO_VELOCITY}, hi AS (SELECT * FROM scored WHERE risk_level = 'HIGH RISK'), m AS (SELECT max(epoch_us(trans_ts)) - 3600000000 AS mark FROM hi),
+    w AS (SELECT epoch_us(date_trunc('hour', trans_ts)) - back * 3600000000 AS start_us, risk_level, is_fraud FROM hi CROSS JOIN (VALUES (0), (1)) b(back))
+    SELECT start_us, risk_level, count(*) AS total, CAST(sum(is_fraud) AS BIGINT) AS fraud_count FROM w, m WHERE start_us + 7200000000 <= mark GROUP BY ALL""",
+)
 def stream_sliding(spark, sf_dir):
     """High-tier rows per sliding two hours, every hour."""
     path = shared_folder(spark, "stream-alerts")
