@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from riskspark.functions.numeric import half_even, ratio
 
 SCORE_DIGITS = 6
-SLICES = 1000
+SLICES = 8192
+LOG_ODDS = 40.0  # slices span log-odds of -40 to 40
 
 
 def score_histogram(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = (), digits: int | None = SCORE_DIGITS) -> DataFrame:
@@ -35,15 +36,22 @@ def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def sliced_counts(histogram: DataFrame, by: Sequence[str] = (), top: float = 1.0, slices: int = SLICES) -> DataFrame:
+def _slice(score: Column, slices: int) -> Column:
+    """Slice of a 0-1 score on the log-odds scale, where model scores spread out instead of crowding
+    at the ends. Every step is monotone, so slices are in score order."""
+    odds = F.log(F.greatest(score, F.lit(1e-17))) - F.log1p(-F.least(score, F.lit(1.0 - 1e-15)))
+    return F.least(F.greatest(F.floor((odds + LOG_ODDS) / (2 * LOG_ODDS) * slices), F.lit(0)), F.lit(slices - 1)).cast("bigint")
+
+
+def sliced_counts(histogram: DataFrame, by: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
     """The same for scores of full resolution.
 
     A running total in two levels: slices of the score range are summed and
-    accumulated first (at most ``slices`` + 1 rows per group), then each slice
+    accumulated first (at most ``slices`` rows per group), then each slice
     runs on its own from what lies above it.
     """
     by = list(by)
-    sliced = histogram.withColumn("_slice", F.floor(F.col("score") / top * slices).cast("bigint"))
+    sliced = histogram.withColumn("_slice", _slice(F.col("score"), slices))
     above = W.partitionBy(*by).orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     offsets = (

@@ -47,6 +47,14 @@ def test_areas(scored, rows):
         assert (got.pr_auc, got.roc_auc) == pytest.approx(want, rel=1e-12)
 
 
+def test_full_resolution_with_crowded_scores(spark):
+    rng = random.Random(9)
+    data = [(int(rng.random() < 0.2), rng.choice([0.0, 1.0, 1e-9 * rng.random(), 1 - 1e-9 * rng.random(), rng.random()])) for _ in range(500)]
+    df = spark.createDataFrame(data, "is_fraud int, p double")
+    got = curve_areas(df, F.col("p"), digits=None, full=True).first()
+    assert (got.pr_auc, got.roc_auc) == pytest.approx(brute_areas([d[0] for d in data], [d[1] for d in data]), rel=1e-12)
+
+
 def test_areas_without_one_class(spark):
     df = spark.createDataFrame([(0, 0.2), (0, 0.9)], "is_fraud int, p double")
     assert tuple(curve_areas(df, F.col("p")).first()) == (0.0, 0.0)
