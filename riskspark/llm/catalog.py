@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import decontaminate, quality, shards, simhash, warc
+from riskspark.llm import decontaminate, lines, mixing, quality, repeats, secrets, shards, simhash, toxicity, warc
 from riskspark.llm.common import table
 from riskspark.llm.sql import ORACLES
 from riskspark.session import shared_folder
@@ -16,6 +16,28 @@ from riskspark.session import shared_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixture(table(spark, sf_dir, "documents"), target="repeats", limit=2.0)
+    return found.select("doc_id", "source", "n_tokens", "epoch", "start_token", "block")
+
+
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, removed lines with their code point offsets, and a digest of what stays."""
+    found = lines.deduplicated(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("removed_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_units", "n_removed", "removed_chars", spans.alias("removed_spans"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.deduplicated(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
 
@@ -25,6 +47,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scanned(table(spark, sf_dir, "documents"))
+    base = F.filter("parts", lambda p: p["kind"].isin(*secrets.BASE))
+    count = lambda kind: F.size(F.filter("parts", lambda p: p["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secrets.BASE), F.sha2(secrets.joined_spans(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined_spans(F.col("parts")).alias("spans"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -46,7 +77,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_shards, op6_decontaminate, op8_quality, op9_simhash, op10_warc, pipeline)
+    f.__name__: f
+    for f in (
+        op1_mixing, op2_lines, op3_toxicity, op4_repeats, op5_shards, op6_decontaminate, op7_secrets, op8_quality, op9_simhash,
+        op10_warc, pipeline,
+    )
 }
 
 
