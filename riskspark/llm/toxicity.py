@@ -6,9 +6,9 @@ Two word models, toxic and ordinary, learn from labelled documents outside the h
 * a word: discounted continuation counts (different words before it), backing off to
 * the corpus: document frequencies over all documents, shared by both classes.
 A document's score compares the log-likelihoods of both models, divided by length: of the whole text, and
-of its most toxic run of ``window`` words, so an insult in a long text counts as in a short one. A
-logistic curve over the two and the log length gives 0 to 1; it is fitted on labelled documents that the
-counts have not seen (remainder ``CALIBRATE``).
+of its ``top`` most telling words, so an insult in a long text counts as in a short one. What single words
+exceed ``MARGIN`` by is summed up, too. A logistic curve over these and the log length gives 0 to 1; it
+is fitted on labelled documents that the counts have not seen (remainder ``CALIBRATE``).
 
 Bounds: at most about ``max_labelled`` labelled documents, the least by hash of the id, for the
 classifier; pairs and words need ``min_support`` different documents or contexts, so the model has at
@@ -38,6 +38,8 @@ from riskspark.llm.common import map_batches, stored, with_results
 WORDS = re.compile(r"\w+")
 HELD_OUT, CALIBRATE = 2, 3
 DISCOUNT = 0.75
+MARGIN = 1.5
+FEATURES = 4
 
 
 def words_of(text: str | None) -> list[str]:
@@ -96,24 +98,24 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[s
 class Models:
     """Log-likelihood ratios, toxic over ordinary, of words and of supported pairs."""
 
-    def __init__(self, words: dict[str, float], pairs: dict[tuple[str, str], float], window: int):
-        self.words, self.pairs, self.window = words, pairs, window
+    def __init__(self, words: dict[str, float], pairs: dict[tuple[str, str], float], top: int):
+        self.words, self.pairs, self.top = words, pairs, top
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
+    def features(self, text: str | None) -> tuple[float, ...]:
         words = words_of(text)
         if not words:
-            return 0.0, 0.0, 0.0
+            return (0.0,) * FEATURES
         ratios = list(map(self.words.get, words, repeat(0.0)))
         if self.pairs:
             for i, pair in enumerate(zip(["", *words], words)):
                 if pair in self.pairs:
                     ratios[i] = self.pairs[pair]
-        run = np.concatenate(([0.0], np.cumsum(np.array(ratios))))
-        size = min(self.window, len(words))
-        return run[-1] / len(words), float((run[size:] - run[:-size]).max()) / self.window, math.log1p(len(words))
+        made = np.array(ratios)
+        best = np.sort(made)[::-1][: self.top]
+        return float(made.mean()), float(best.sum() / self.top), math.log1p(np.maximum(made - MARGIN, 0).sum()), math.log1p(len(words))
 
 
-def fitted(docs: DataFrame, sample: DataFrame, text_col: str, min_support: int, window: int) -> Models | None:
+def fitted(docs: DataFrame, sample: DataFrame, text_col: str, min_support: int, top: int) -> Models | None:
     """The two Kneser-Ney models as ratios; None without both classes."""
     pairs = stored(pair_counts(sample.where(F.col("fold") != CALIBRATE)), "toxicity-pairs")
     contexts = pairs.groupBy("toxic", "word").agg(F.count("*").alias("n"))
@@ -140,7 +142,7 @@ def fitted(docs: DataFrame, sample: DataFrame, text_col: str, min_support: int,
             back = lower[r["word"]][t]
             p.append(max(n - DISCOUNT, 0) / every_t + DISCOUNT * kinds / every_t * back if every_t else back)
         upper[r["before"], r["word"]] = math.log(p[1] / p[0])
-    return Models({w: math.log(p[1] / p[0]) for w, p in lower.items()}, upper, window)
+    return Models({w: math.log(p[1] / p[0]) for w, p in lower.items()}, upper, top)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,22 +162,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-           max_labelled: int = 20_000, min_support: int = 5, window: int = 40, threshold: float = 0.3) -> DataFrame:
-    """Every column of ``docs``, then held_out, score, predicted, whole_ratio and window_ratio."""
+           max_labelled: int = 20_000, min_support: int = 5, top: int = 3, threshold: float = 0.3) -> DataFrame:
+    """Every column of ``docs``, then held_out, score, predicted, whole_ratio and top_ratio."""
     context = docs.sparkSession.sparkContext
     sample = stored(labelled(docs, labels, id_col, text_col, label_col, max_labelled), "toxicity-sample")
-    models = fitted(docs, sample, text_col, min_support, window)
+    models = fitted(docs, sample, text_col, min_support, top)
     curve = None
     if models:
         shared = context.broadcast(models)
 
         def features(texts: list, toxic: list) -> list:
-            return [*map(list, zip(*map(shared.value.features, texts))), toxic] if texts else [[], [], [], []]
+            return [*map(list, zip(*map(shared.value.features, texts))), toxic] if texts else [[]] * (FEATURES + 1)
 
         fit = sample.where(F.col("fold") == CALIBRATE).select("text", "toxic")
-        rows = np.array(map_batches(fit, features, "a double, b double, c double, toxic double").collect(), float).reshape(-1, 4)  # bounded by max_labelled
-        if len(set(rows[:, 3])) == 2:
-            curve = logistic(rows[:, :3], rows[:, 3])
+        rows = np.array(map_batches(fit, features, "a double, b double, c double, d double, toxic double").collect(), float)  # bounded by max_labelled
+        rows = rows.reshape(-1, FEATURES + 1)
+        if len(set(rows[:, -1])) == 2:
+            curve = logistic(rows[:, :-1], rows[:, -1])
     known = context.broadcast((models, curve))
 
     def row(text: str | None) -> tuple:
@@ -188,4 +191,4 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return score, int(score >= threshold), float(x[0]), float(x[1])
 
     out = docs.withColumn("held_out", remainder(id_col) == HELD_OUT)
-    return with_results(out, text_col, row, "score double, predicted int, whole_ratio double, window_ratio double")
+    return with_results(out, text_col, row, "score double, predicted int, whole_ratio double, top_ratio double")
