@@ -149,13 +149,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     found = scan(docs, benchmark, text_col, n=n)
     if mode == "document":
         return found.where("not contaminated").select(*docs.columns)
-    cut = F.udf(cut_spans, "string")
-    return found.withColumn(text_col, F.when("contaminated", cut(text_col, "hit_spans")).otherwise(F.col(text_col))).select(*docs.columns)
+    spans = found.withColumn("__in", F.struct(F.col(text_col).alias("t"), "hit_spans"))
+    return with_results(spans, "__in", lambda x: (cut_spans(x["t"], x["hit_spans"]),), f"`{text_col}` string").select(*docs.columns)
 
 
-def cut_spans(text: str, spans: list) -> str:
+def cut_spans(text: str | None, spans: list[dict]) -> str | None:
+    if not spans:
+        return text
     raw, out, last = text.encode(), [], 0
-    for a, b in spans:
-        out.append(raw[last:a])
-        last = b
+    for s in spans:
+        out.append(raw[last : s["start"]])
+        last = s["end"]
     return b"".join([*out, raw[last:]]).decode()
