@@ -43,7 +43,7 @@ def category_median(spark, sf_dir):
 @query("ag03b_category_median_distributed", f"WITH {S.TXN} SELECT category, {S.r('quantile_cont(amt, 0.5)', 4)} AS category_median FROM txn GROUP BY category")
 def category_median_distributed(spark, sf_dir):
     """The plan for groups too large for one task."""
-    out = quantiles(txn(spark, sf_dir), "amt", {"category_median": 0.5}, by=("category",), small=False)
+    out = quantiles(txn(spark, sf_dir), "amt", {"category_median": 0.5}, by=("category",))
     return out.withColumn("category_median", half_even(F.col("category_median"), 4))
 
 
@@ -52,17 +52,14 @@ def category_rate(spark, sf_dir):
     return FE.category_rates(txn(spark, sf_dir)).withColumn("category_rate", half_even(F.col("category_rate"), 6))
 
 
-_TYPES = ("string", "timestamp", "bigint", "string", "double", "double", "double", "double", "double", "date", "int")
+_KIND = "CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof(any_value({c}))) END"
 
 
 @query(
     "ag05_dataset_profile",
-    f"WITH {S.TXN}, n AS (SELECT count(*) AS row_count, CAST({len(COLUMNS)} AS INTEGER) AS column_count FROM txn) "
-    + " UNION ALL ".join(
-        f"SELECT row_count, column_count, '{c}' AS column_name, '{t}' AS data_type, "
-        f"'{'target' if c == 'is_fraud' else 'numerical' if t in ('bigint', 'double', 'int') else 'categorical'}' AS feature_kind FROM n"
-        for c, t in zip(COLUMNS, _TYPES)
-    ),
+    f"WITH {S.TXN}, t AS (" + " UNION ALL ".join(f"SELECT count(*) AS row_count, '{c}' AS column_name, {_KIND.format(c=c)} AS data_type FROM txn" for c in COLUMNS)
+    + """) SELECT row_count, CAST(count(*) OVER () AS INTEGER) AS column_count, column_name, data_type,
+      CASE WHEN column_name = 'is_fraud' THEN 'target' WHEN data_type IN ('bigint', 'double', 'int') THEN 'numerical' ELSE 'categorical' END AS feature_kind FROM t""",
 )
 def dataset_profile(spark, sf_dir):
     return P.dataset_profile(txn(spark, sf_dir))

@@ -57,10 +57,13 @@ def unknown(spark, sf_dir):
 
 @query(
     "cl06_label_domain",
-    f"WITH {S.TXN} SELECT count(*) AS rows, count(*) FILTER (is_fraud NOT IN (0, 1) OR is_fraud IS NULL) AS violations FROM txn",
+    f"""WITH {S.TXN}, planted AS (SELECT CASE WHEN amt > 300 THEN 2 WHEN amt < 20 THEN NULL ELSE is_fraud END AS is_fraud FROM txn)
+    SELECT count(*) AS rows, count(*) FILTER (is_fraud NOT IN (0, 1) OR is_fraud IS NULL) AS violations FROM planted""",
 )
 def label_domain(spark, sf_dir):
-    return C.label_domain_violations(C.standardize_label(txn(spark, sf_dir)))
+    """Raw labels with wrong and missing ones planted by amount."""
+    planted = F.when(F.col("amt") > 300, F.lit(2)).when(F.col("amt") < 20, F.lit(None)).otherwise(F.col("is_fraud"))
+    return C.label_domain_violations(txn(spark, sf_dir).withColumn("is_fraud", planted))
 
 
 @query(
@@ -141,7 +144,7 @@ def stratified(spark, sf_dir):
 def stratified_distributed(spark, sf_dir):
     """The plan for classes too large for one task: thresholds on the hash, no shuffle of the rows."""
     valid = C.drop_bad_coordinates(C.drop_bad_amounts(txn(spark, sf_dir)))
-    return stratified_split(valid, small=False).select("trans_num", "is_fraud", "split")
+    return stratified_split(valid).select("trans_num", "is_fraud", "split")
 
 
 @query(

@@ -121,7 +121,7 @@ def weight_selection(spark, sf_dir):
 
 
 _GRID_ROWS = ", ".join(f"({i}, {a!r}::DOUBLE, {b!r}::DOUBLE, {c!r}::DOUBLE)" for i, a, b, c in simplex_weights())
-_GRID_SCORE = S.r("wa * p_ml + wb * (s_anom / 100) + wc * (behavioral_score / 100)", 6)
+_GRID_SCORE = "wa * p_ml + wb * (s_anom / 100.0::DOUBLE) + wc * (behavioral_score / 100.0::DOUBLE)"
 
 
 @query(
@@ -146,7 +146,7 @@ _MIX = "CAST(least(greatest(round_even(0.75::DOUBLE * (p_ml * 100) + 0.25::DOUBL
       SELECT 'A supervised' AS model, is_fraud, amt, p_ml AS s, p_ml * 100 >= 40 AS flag FROM scored UNION ALL
       SELECT 'B with anomaly', is_fraud, amt, {_MIX} / 100.0::DOUBLE, {_MIX} >= 40 FROM scored UNION ALL
       SELECT 'C full', is_fraud, amt, hybrid_score / 100.0::DOUBLE, hybrid_score >= 25 FROM scored)"""
-    + S.confusion("v", "flag", by="model") + S.curve("v", S.r("s", 6), "model", "cv") + S.area("cv", "model")
+    + S.confusion("v", "flag", by="model") + S.curve("v", "s", "model", "cv") + S.area("cv", "model")
     + f" SELECT model, precision, recall, f1, pr_auc, fp, fn, total_cost FROM (SELECT model, fp, fn, {S.RATES}, {S.costs()} FROM cm) JOIN area USING (model)",
 )
 def ablation(spark, sf_dir):

@@ -36,12 +36,12 @@ def load_csv(spark, sf_dir):
     )
 
 
-_QUALITY = ("trans_num", "cc_num", "category", "amt", "lat", "long", "merch_lat", "merch_long", "is_fraud")
+_QUALITY = ("cc_num", "category", "amt", "lat", "long", "merch_lat", "merch_long", "is_fraud")
 
 
 @query(
     "io02_column_contract",
-    f"WITH {S.DIRTY} SELECT 'trans_date_trans_time' AS column_name, false AS present, count(*) AS null_count FROM dirty UNION ALL "
+    f"WITH {S.DIRTY} SELECT 'trans_date_trans_time' AS column_name, false AS present, count(*) AS null_count FROM dirty UNION ALL SELECT 'merchant', false, count(*) FROM dirty UNION ALL "
     + " UNION ALL ".join(f"SELECT '{c}', true, count(*) FILTER ({c} IS NULL) FROM dirty" for c in _QUALITY),
 )
 def column_contract(spark, sf_dir):

@@ -38,7 +38,7 @@ def velocity_24h(spark, sf_dir):
 def velocity_hot(spark, sf_dir):
     """The plan for cards too heavy for one task: time slices with carried counts."""
     df = txn_dense(spark, sf_dir).select(*NARROW)
-    out = card_velocity(df, small=False, hot_rows=df.count() // 20)
+    out = card_velocity(df, hot_rows=df.count() // 20)
     return out.select("trans_num", "trans_velocity_1h", "trans_velocity_24h")
 
 
@@ -74,7 +74,7 @@ def trapezoid(spark, sf_dir):
 @query("wn05b_area_full_resolution", f"WITH {S.PROBS}{S.curve('probs', 'p_ml')}{S.area('curve')} SELECT * FROM area")
 def trapezoid_full(spark, sf_dir):
     """The two-level running totals used for scores that are not rounded."""
-    return curve_areas(probabilities(spark, sf_dir), F.col("p_ml"), full=True)
+    return curve_areas(probabilities(spark, sf_dir), F.col("p_ml"))
 
 
 @query("tk01_chronological", f"WITH {S.TXN} SELECT cc_num, epoch_us(trans_ts) AS ts_us, trans_num, amt FROM txn ORDER BY cc_num, trans_ts, trans_num")

@@ -36,3 +36,4 @@ def nan_to_null(c: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole, guarded so that an empty whole gives 0."""
     return part.cast("double") / F.greatest(whole, F.lit(1)).cast("double") * F.lit(100.0)
+

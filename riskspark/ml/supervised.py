@@ -127,7 +127,7 @@ def validation_scores(models: Sequence[FraudModel], df: DataFrame, label: str =
     """PR-AUC and ROC-AUC per model on one held-out frame."""
     rows = []
     for place, model in enumerate(models):
-        area = curve_areas(model.with_probability(df), F.col("p_ml"), label, digits=6, full=True)
+        area = curve_areas(model.with_probability(df), F.col("p_ml"), label, digits=6)
         rows.append(area.withColumns({"model": F.lit(model.name), "place": F.lit(place)}))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
@@ -148,7 +148,7 @@ def search(
     rows = []
     for trial, (params, model) in enumerate(zip(grid, models), 1):
         scored = model.with_probability(held)
-        area = curve_areas(scored, F.col("p_ml"), digits=5, full=True).select(F.struct("*")).scalar()
+        area = curve_areas(scored, F.col("p_ml"), digits=5).select(F.struct("*")).scalar()
         at = metrics_at(scored, "p_ml", 0.5).withColumn("_area", area)
         rows.append(
             at.select(
@@ -179,14 +179,14 @@ def permutation_importance(model: FraudModel, df: DataFrame, repeats: int = 5, k
     The reassignment pairs the n-th row by one hash order with the n-th row by
     another, via a distributed sort and zip of positions, so every value is used once.
     """
-    base = curve_areas(model.with_probability(df), F.col("p_ml"), digits=None, full=True).first()["pr_auc"]
+    base = curve_areas(model.with_probability(df), F.col("p_ml"), digits=None).first()["pr_auc"]
     rows = []
     for repeat in range(repeats):
         placed = _with_positions(df, hash_order(key, seed), "_at")
         for f in model.features:
             donor = _with_positions(df.select(key, f), hash_order(key, seed + 1 + repeat), "_at").select("_at", F.col(f).alias("_new"))
             shuffled = placed.join(donor, "_at").withColumn(f, F.col("_new")).drop("_at", "_new")
-            area = curve_areas(model.with_probability(shuffled), F.col("p_ml"), digits=None, full=True)
+            area = curve_areas(model.with_probability(shuffled), F.col("p_ml"), digits=None)
             rows.append(area.select(F.lit(f).alias("feature"), (F.lit(base) - F.col("pr_auc")).alias("loss")))
     return reduce(lambda a, b: a.unionByName(b), rows).groupBy("feature").agg(half_even(F.avg("loss"), 6).alias("importance"))
 

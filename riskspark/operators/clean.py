@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.calendar import is_night
+from riskspark.functions.numeric import nan_to_null
 from riskspark.functions.text import mask_card
 from riskspark.operators.quantiles import medians
 
+# Columns that are filled.
 MEDIAN_COLUMNS = ("lat", "long", "merch_lat", "merch_long", "city_pop")
 TEXT_COLUMNS = ("merchant", "category", "gender", "job", "state", "city")
 UNKNOWN = "UNKNOWN"
@@ -27,13 +29,13 @@ def keep_first(df: DataFrame, key: str = "trans_num", order: tuple[str, ...] = (
 
 
 def bad_amount() -> Column:
-    return F.coalesce(F.col("amt") <= 0, F.lit(True))
+    return F.coalesce(nan_to_null(F.col("amt").cast("double")) <= 0, F.lit(True))
 
 
 def bad_coordinates() -> Column:
     """Out of range; an unknown coordinate is not out of range."""
     def outside(name: str, limit: float) -> Column:
-        return F.coalesce(F.abs(name) > limit, F.lit(False))
+        return F.coalesce(F.abs(nan_to_null(F.col(name).cast("double"))) > limit, F.lit(False))
     return outside("lat", 90.0) | outside("long", 180.0) | outside("merch_lat", 90.0) | outside("merch_long", 180.0)
 
 
@@ -49,7 +51,7 @@ def impute_medians(df: DataFrame, columns=MEDIAN_COLUMNS) -> DataFrame:
     """Fill numeric gaps with the exact median of the rows at hand."""
     present = [c for c in columns if c in df.columns]
     row = medians(df, present).select(F.struct(*present)).scalar()
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("_median")[c]) for c in present}
+    filled = {c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.col("_median")[c]) for c in present}
     return df.withColumn("_median", row).withColumns(filled).drop("_median")
 
 

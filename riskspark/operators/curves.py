@@ -1,4 +1,4 @@
-"""Precision-recall and ROC curves and their areas, exact over all distinct scores."""
+"""Precision-recall and ROC curves and their areas, exact over all distinct scores of full resolution."""
 
 from __future__ import annotations
 
@@ -8,57 +8,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.functions.numeric import half_even, ratio
+from riskspark.functions.numeric import half_even, nan_to_null, ratio
 
-SCORE_DIGITS = 6
-SLICES = 8192
-LOG_ODDS = 40.0  # slices span log-odds of -40 to 40
+PER_UNIT = 100  # slices per unit of log-odds, or of the log scale outside 0-1
+LOG_ODDS = 40.0  # of the scores between 0 and 1
 
 
-def score_histogram(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = (), digits: int | None = SCORE_DIGITS) -> DataFrame:
-    """Positives and negatives per distinct score. With ``digits`` the domain of a 0-1 score
-    is at most a million values, however many rows there are; None keeps full resolution."""
-    value = score.cast("double") if digits is None else half_even(score.cast("double"), digits)
+def score_histogram(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score; null and NaN scores are left out."""
     pos = (F.col(label) == 1).cast("bigint")
-    return df.groupBy(*by, value.alias("score")).agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
+    scored = df.withColumn("_score", nan_to_null(score.cast("double"))).where(F.col("_score").isNotNull())
+    return scored.groupBy(*by, F.col("_score").alias("score")).agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
 
 
-def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Adds tp and fp (rows scoring at least this much) and the class totals. For scores rounded to
-    a bounded domain (``SCORE_DIGITS``), where a group has at most a million distinct scores."""
-    down = W.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = W.partitionBy(*by)
-    return histogram.withColumns(
-        {
-            "tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down),
-            "positives": F.sum("pos").over(whole), "negatives": F.sum("neg").over(whole),
-        }
-    )
-
-
-def _slice(score: Column, slices: int) -> Column:
-    """Slice of a 0-1 score on the log-odds scale, where model scores spread out instead of crowding
-    at the ends. Every step is monotone, so slices are in score order."""
+def _slice(score: Column) -> Column:
+    """Slice of a score, monotone over all doubles: on the log-odds scale between 0 and 1, where model
+    scores spread out instead of crowding at the ends, and on a log scale outside."""
     odds = F.log(F.greatest(score, F.lit(1e-17))) - F.log1p(-F.least(score, F.lit(1.0 - 1e-15)))
-    return F.least(F.greatest(F.floor((odds + LOG_ODDS) / (2 * LOG_ODDS) * slices), F.lit(0)), F.lit(slices - 1)).cast("bigint")
+    inside = F.greatest(F.least(odds, F.lit(LOG_ODDS)), F.lit(-LOG_ODDS))
+    place = F.when(score <= 0, -(LOG_ODDS + 1) - F.log1p(-score)).when(score >= 1, LOG_ODDS + 1 + F.log1p(score - 1)).otherwise(inside)
+    return F.floor(place * PER_UNIT).cast("bigint")
 
 
-def sliced_counts(histogram: DataFrame, by: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
-    """The same for scores of full resolution.
+def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Adds tp and fp (rows scoring at least this much) and the class totals.
 
     A running total in two levels: slices of the score range are summed and
-    accumulated first (at most ``slices`` rows per group), then each slice
-    runs on its own from what lies above it.
+    accumulated first (at most some 8,000 rows per group for scores between 0
+    and 1), then each slice runs on its own from what lies above it.
     """
     by = list(by)
-    sliced = histogram.withColumn("_slice", _slice(F.col("score"), slices))
+    sliced = histogram.withColumn("_slice", _slice(F.col("score")))
     above = W.partitionBy(*by).orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     offsets = (
         sliced.groupBy(*by, "_slice")
         .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
         .select(
-            *by, "_slice",
+            *[F.col(c).alias(f"_of_{c}") for c in by], F.col("_slice").alias("_of_slice"),
             F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_above"),
             F.coalesce(F.sum("_neg").over(above), F.lit(0)).alias("_neg_above"),
             F.sum("_pos").over(whole).alias("positives"),
@@ -66,8 +53,11 @@ def sliced_counts(histogram: DataFrame, by: Sequence[str] = (), slices: int = SL
         )
     )
     inside = W.partitionBy(*by, "_slice").orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    on = F.col("_slice") == F.col("_of_slice")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     return (
-        sliced.join(offsets, [*by, "_slice"])
+        sliced.join(offsets, on)
         .withColumns(
             {
                 "tp": F.col("_pos_above") + F.sum("pos").over(inside),
@@ -93,15 +83,13 @@ def areas(cumulative: DataFrame, by: Sequence[str] = (), digits: int | None = 4)
     return cumulative.groupBy(*by).agg(show(area_pr).alias("pr_auc"), show(area_roc).alias("roc_auc"))
 
 
-def counts_by_score(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = (), full: bool = False) -> DataFrame:
-    """Cumulative counts of a 0-1 score; ``full`` keeps every binary digit of it."""
-    if full:
-        return sliced_counts(score_histogram(df, score, label, by, digits=None), by)
+def counts_by_score(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
     return cumulative_counts(score_histogram(df, score, label, by), by)
 
 
-def curve_areas(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = (), digits: int | None = 4, full: bool = False) -> DataFrame:
-    return areas(counts_by_score(df, score, label, by, full), by, digits)
+def curve_areas(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
+    """Areas per group, rounded to ``digits`` for show."""
+    return areas(counts_by_score(df, score, label, by), by, digits)
 
 
 def curve_points(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:

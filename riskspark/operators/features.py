@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from riskspark.config import FEATURES
 from riskspark.functions.calendar import age_years, is_night, monday_weekday
 from riskspark.functions.geo import haversine_km
+from riskspark.functions.numeric import nan_to_null
 from riskspark.operators import lookups
 from riskspark.operators.quantiles import quantiles
-from riskspark.operators.sizing import is_small
 from riskspark.operators.velocity import WINDOWS, card_velocity
+from riskspark.session import stored
 
 EPSILON = 1e-5
 
@@ -21,23 +22,20 @@ EPSILON = 1e-5
 def global_baselines(df: DataFrame) -> DataFrame:
     """One row: mean and median amount, fraud rate."""
     rate = F.avg("is_fraud") if "is_fraud" in df.columns else F.lit(0.015)
-    if is_small(df):
-        return df.agg(F.avg("amt").alias("global_mean"), rate.alias("global_rate"), F.percentile("amt", 0.5).alias("global_median"))
     median = quantiles(df, "amt", {"median": 0.5}).scalar()
-    return df.agg(F.avg("amt").alias("global_mean"), rate.alias("global_rate")).withColumn("global_median", median)
+    return df.agg(F.avg(nan_to_null(F.col("amt"))).alias("global_mean"), rate.alias("global_rate")).withColumn("global_median", median)
 
 
 def card_means(df: DataFrame) -> DataFrame:
     return (
         df.where(F.col("cc_num").isNotNull())
         .groupBy("cc_num")
-        .agg(F.avg("amt").alias("card_mean"), F.count(F.lit(1)).alias("card_rows"))
+        .agg(F.avg(nan_to_null(F.col("amt"))).alias("card_mean"), F.count(F.lit(1)).alias("card_rows"))
     )
 
 
 def category_medians(df: DataFrame) -> DataFrame:
-    known = df.where(F.col("category").isNotNull())
-    return quantiles(known, "amt", {"category_median": 0.5}, by=("category",))
+    return quantiles(df.where(F.col("category").isNotNull()), "amt", {"category_median": 0.5}, by=("category",))
 
 
 def category_rates(df: DataFrame) -> DataFrame:
@@ -61,34 +59,18 @@ class Baselines:
 
     @classmethod
     def fit(cls, df: DataFrame, broadcast_rows: int | None = None, hot_rows: int | None = None) -> "Baselines":
-        """Lookups of a small frame are small. Otherwise they are kept (memory, then disk) and their
-        sizes checked, which decides how they are joined."""
-        small = is_small(df)
-        cards = card_means(df)
+        """The lookups are written once; their counted rows decide how they are joined."""
         categories = category_medians(df)
-        if "is_fraud" in df.columns and small:
-            known = df.where(F.col("category").isNotNull()).groupBy("category")
-            categories = known.agg(
-                F.percentile("amt", 0.5).alias("category_median"), F.avg("is_fraud").alias("category_rate"),
-                F.count(F.lit(1)).alias("category_rows"),
-            )
-        elif "is_fraud" in df.columns:
+        if "is_fraud" in df.columns:
             categories = category_rates(df).join(categories, "category", "left")
         else:
             categories = categories.withColumns({"category_rate": F.lit(None).cast("double"), "category_rows": F.lit(0)})
-        globals_ = global_baselines(df)
-        if small:
-            return cls(cards, categories, globals_, True, True, hot_rows)
-        cards, categories, globals_ = cards.persist(), categories.persist(), globals_.persist()
+        cards, categories = stored(card_means(df), "cards"), stored(categories, "categories")
         return cls(
-            cards, categories, globals_,
+            cards, categories, stored(global_baselines(df), "globals"),
             lookups.fits(cards, broadcast_rows), lookups.fits(categories, broadcast_rows), hot_rows,
         )
 
-    def unpersist(self) -> None:
-        for kept in (self.cards, self.categories, self.globals_):
-            kept.unpersist()
-
     def save(self, path: str) -> None:
         self.cards.write.mode("overwrite").parquet(f"{path}/cards")
         self.categories.write.mode("overwrite").parquet(f"{path}/categories")
@@ -159,8 +141,13 @@ def add_features(
     """All features on the row. Ratio and rate columns the caller supplies pass through;
     velocity passes through only when both columns are there."""
     supplied = set(df.columns)
-    velocity_options.setdefault("small", is_small(df))
-    out = row_features(df)
+    out = df
+    if velocity and not set(WINDOWS) <= supplied:  # first, while rows are narrow and nothing has been joined
+        out = out.drop(*WINDOWS)
+        if "cc_num" not in supplied:
+            out = out.withColumn("cc_num", F.lit("UNKNOWN_CARD"))
+        out = card_velocity(out, scope=scope, **velocity_options)
+    out = row_features(out)
     if "amt_to_user_avg_ratio" not in supplied:
         out = base.with_cards(out).withColumn("amt_to_user_avg_ratio", spend_ratio(F.col("amt"), F.col("card_mean")))
     ratio_needed = "amt_to_cat_median_ratio" not in supplied
@@ -171,13 +158,7 @@ def add_features(
             out = out.withColumn("amt_to_cat_median_ratio", spend_ratio(F.col("amt"), F.col("category_median")))
         if rate_needed:
             out = out.withColumn("category_fraud_rate", F.col("category_rate"))
-    out = out.drop("card_mean", "category_median", "category_rate")
-    if velocity and not set(WINDOWS) <= supplied:
-        out = out.drop(*WINDOWS)
-        if "cc_num" not in supplied:
-            out = out.withColumn("cc_num", F.lit("UNKNOWN_CARD"))
-        out = card_velocity(out, scope=scope, **velocity_options)
-    return out
+    return out.drop("card_mean", "category_median", "category_rate")
 
 
 def feature_matrix(df: DataFrame, key: str = "trans_num") -> DataFrame:

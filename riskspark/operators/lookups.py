@@ -12,9 +12,8 @@ SALTS = 64
 
 
 def fits(df: DataFrame, rows: int | None = None) -> bool:
-    """Does the table hold at most ``rows`` rows? Reads no more than that from any partition."""
-    rows = BROADCAST_ROWS if rows is None else rows
-    return df.limit(max(rows, 0) + 1).count() <= rows
+    """Does the written table hold at most ``rows`` rows? Answered from file footers."""
+    return df.count() <= (BROADCAST_ROWS if rows is None else rows)
 
 
 def hot_keys(df: DataFrame, key: str, rows_column: str, hot_rows: int | None = None, keys: int = HOT_KEYS) -> DataFrame:
@@ -53,7 +52,8 @@ def lookup_join(
     hot = hot_keys(lookup, key, rows_column, hot_rows).select(
         key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
     )
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(SALTS)) + 1).otherwise(F.lit(0).cast("bigint"))
+    served = F.coalesce(F.col("_hot"), F.lit(False)) | F.col(key).isNull()  # a null key finds nothing wherever it goes
+    spread = F.when(served, F.pmod(F.xxhash64(salt_by), F.lit(SALTS)) + 1).otherwise(F.lit(0).cast("bigint"))
     cold = slim.withColumn("_salt", F.lit(0).cast("bigint"))
     joined = (
         df.join(F.broadcast(hot), key, "left")

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.config import ANOMALY_BANDS, FEATURES, TIERS
 from riskspark.functions.calendar import is_night
-from riskspark.functions.numeric import half_even, percent
+from riskspark.functions.numeric import half_even, nan_to_null, percent
 from riskspark.operators.lookups import fits
 from riskspark.operators.quantiles import quantiles
-from riskspark.operators.sizing import is_small
+from riskspark.session import stored
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -173,14 +171,17 @@ def label_correlations(df: DataFrame, features: Sequence[str] = FEATURES, label:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = (*FEATURES, "is_fraud")) -> DataFrame:
-    """All pairs in long form. The Gramian is summed per task and only the matrix of column
-    pairs (its size set by the column list, not the data) comes back."""
-    inputs = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(inputs)
-    matrix = Correlation.corr(vectors, "v").head()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    long = df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, correlation double")
-    return long.withColumn("correlation", half_even(F.col("correlation"), 4))
+    """All pairs in long form. A pair is correlated over the rows where both are known; one aggregation
+    serves all pairs."""
+    values = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    row = df.agg(*[half_even(F.corr(values[a], values[b]), 4).alias(f"{a}|{b}") for a, b in pairs])
+    both = {(x, y) for a, b in pairs for x, y in ((a, b), (b, a))}
+    cells = [
+        F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"`{x}|{y}`" if f"{x}|{y}" in row.columns else f"`{y}|{x}`").alias("correlation"))
+        for x, y in sorted(both)
+    ]
+    return row.select(F.inline(F.array(*cells)))
 
 
 def log_histogram(df: DataFrame, bins: int = 40, label: str = "is_fraud", amount: str = "amt") -> DataFrame:
@@ -217,10 +218,9 @@ def linear_histogram(df: DataFrame, value: str, bins: int = 40, low: float = 0.0
 def box_plot(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, mean, whisker ends (most extreme values within 1.5 IQR) and outlier count per group."""
     by = list(by)
-    small = is_small(df)
-    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=tuple(by), small=small)
-    q = F.broadcast(q) if small or fits(q.persist()) else q
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    q = stored(quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=tuple(by)), "quartiles")
+    q = F.broadcast(q) if fits(q) else q
+    counted = df.where(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col(value) >= F.col("q1") - iqr * 1.5) & (F.col(value) <= F.col("q3") + iqr * 1.5)
     out = counted.join(q, by).groupBy(*by, "q1", "median", "q3").agg(

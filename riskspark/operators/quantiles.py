@@ -1,9 +1,10 @@
 """Exact interpolated quantiles without gathering a group in one task.
 
 Values are first counted per distinct value (partial aggregation absorbs
-copies). A monotone log scale between the global minimum and maximum cuts them
-into slices; the slice counts, at most ``slices`` rows per group, tell which
-slices hold the wanted order statistics, and only those slices are ranked.
+copies). A fixed monotone log scale cuts them into slices, the same for any
+data; the slice counts (at most some 2.9 million per group, for all doubles) tell
+which slices hold the wanted order statistics, and only those slices are ranked.
+Null and NaN are missing; infinite values have slices of their own.
 """
 
 from __future__ import annotations
@@ -12,34 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskspark.operators.sizing import is_small
+PER_LOG = 2000  # slices per unit of the log scale: values of a slice are within 0.05 %
 
-SLICES = 8192
 
+def _slice(v: Column) -> Column:
+    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * PER_LOG).cast("bigint")
 
-def _stretch(v: Column) -> Column:
-    return F.signum(v) * F.log1p(F.abs(v))
 
-
-def quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), slices: int = SLICES, small: bool | None = None
-) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
     """One row per group with a column per named probability (linear interpolation)."""
     by = list(by)
-    if is_small(df) if small is None else small:
-        return _direct(df, value, probs, by)
-    counted = (
+    sliced = (
         df.select(*by, F.col(value).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*by, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    low, high = _stretch(F.min("_v")), _stretch(F.max("_v"))
-    span = counted.agg(F.struct(low.alias("low"), (high - low).alias("width"))).scalar()
-    position = F.try_divide(_stretch(F.col("_v")) - F.col("_span.low"), F.col("_span.width"))
-    sliced = counted.withColumn("_span", span).select(
-        *by, "_v", "_n",
-        F.coalesce(F.least(F.floor(position * slices), F.lit(slices - 1)), F.lit(0)).cast("int").alias("_slice"),
+        .withColumn("_slice", _slice(F.col("_v")))
     )
 
     upto = W.partitionBy(*by).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
@@ -55,10 +44,13 @@ def quantiles(
         )
         .withColumn("_targets", F.filter(F.concat(*wanted), lambda t: (t["k"] >= F.col("_before")) & (t["k"] < F.col("_before") + F.col("_rows"))))
         .where(F.size("_targets") > 0)
-        .select(*by, "_slice", "_before", "_targets")
+        .select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col("_slice").alias("_of_slice"), "_before", "_targets")
     )
+    on = F.col("_slice") == F.col("_of_slice")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     # Without groups there are at most two target slices per probability.
-    picked = sliced.join(targets if by else F.broadcast(targets), [*by, "_slice"])
+    picked = sliced.join(targets if by else F.broadcast(targets), on)
     running = W.partitionBy(*by, "_slice").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     hits = (
         picked.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
@@ -69,17 +61,10 @@ def quantiles(
         low = F.max(F.when((F.col("_hit.name") == name) & (F.col("_hit.side") == 0), F.col("_v")))
         high = F.max(F.when((F.col("_hit.name") == name) & (F.col("_hit.side") == 1), F.col("_v")))
         share = F.max(F.when(F.col("_hit.name") == name, F.col("_hit.share")))
-        columns.append((low + (high - low) * share).alias(name))
+        columns.append(F.when(share == 0, low).otherwise(low + (high - low) * share).alias(name))
     return hits.groupBy(*by).agg(*columns)
 
 
-def _direct(df: DataFrame, value: str, probs: dict[str, float], by: list[str]) -> DataFrame:
-    """For inputs of checked size: the built-in exact aggregate."""
-    known = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    at = F.percentile(value, F.array(*[F.lit(float(p)) for p in probs.values()]))
-    return known.groupBy(*by).agg(at.alias("_at")).select(*by, *[F.col("_at")[i].alias(n) for i, n in enumerate(probs)])
-
-
 def _targets(name: str, p: float) -> Column:
     """The two order statistics (0-based ranks) a probability interpolates between."""
     at = F.lit(float(p)) * (F.col("_total") - 1)
@@ -90,12 +75,10 @@ def _targets(name: str, p: float) -> Column:
     return F.array(fields(low, 0), fields(F.least(low + 1, F.col("_total") - 1), 1))
 
 
-def medians(df: DataFrame, columns: list[str], small: bool | None = None) -> DataFrame:
+def medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row with the median of each column; the columns share one pass."""
-    if is_small(df) if small is None else small:
-        return df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in columns])
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in columns]))
     )
-    per_column = quantiles(long, "_x", {"_m": 0.5}, by=("_c",), small=False)
+    per_column = quantiles(long, "_x", {"_m": 0.5}, by=("_c",))
     return per_column.agg(*[F.max(F.when(F.col("_c") == c, F.col("_m"))).alias(c) for c in columns])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from riskspark.config import SPLIT_SEED, SPLIT_SHARES
 from riskspark.functions.numeric import half_even
-from riskspark.operators.sizing import is_small
 
 PREFIX = 4  # hex digits of the hash that name a bucket: 65,536 buckets per class
 
@@ -52,7 +51,6 @@ def class_cuts(sizes: DataFrame, label: str, shares=SPLIT_SHARES) -> DataFrame:
 
 def stratified_split(
     df: DataFrame, label: str = "is_fraud", key: str = "trans_num", seed: int = SPLIT_SEED, shares=SPLIT_SHARES,
-    small: bool | None = None,
 ) -> DataFrame:
     """Adds ``split`` with exact class counts, without moving the table.
 
@@ -61,8 +59,6 @@ def stratified_split(
     hash values found there turn the split into a comparison per row.
     """
     h = hash_order(key, seed)
-    if is_small(df) if small is None else small:
-        return _ranked_split(df, label, key, h, shares)
     ordered = df.select(F.col(label), h.alias("_h"), F.col(key).cast("string").alias("_k"))
     ordered = ordered.withColumn("_bucket", F.substring("_h", 1, PREFIX))
     histogram = ordered.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
@@ -98,16 +94,6 @@ def stratified_split(
     return df.join(F.broadcast(marks), label, "left").withColumn("split", split).drop("_last_train", "_last_val")
 
 
-def _ranked_split(df: DataFrame, label: str, key: str, h: Column, shares) -> DataFrame:
-    """For inputs of checked size: rank each class whole and compare ranks with the cut points."""
-    cuts = class_cuts(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, shares)
-    place = F.row_number().over(W.partitionBy(label).orderBy(h, F.col(key).cast("string")))
-    split = F.when(F.col("_place") <= F.col("cut_train"), "train").when(F.col("_place") <= F.col("cut_val"), "val").otherwise("test")
-    by_label = cuts.agg(F.map_from_entries(F.collect_list(F.struct(label, F.struct("cut_train", "cut_val"))))).scalar()
-    placed = df.withColumns({"_place": place, "_cuts": by_label[F.col(label)]})
-    return placed.select(*df.columns, "_place", "_cuts.*").withColumn("split", split).drop("_place", "cut_train", "cut_val")
-
-
 def split_summary(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     rows, fraud = F.count(F.lit(1)), F.sum(F.col(label).cast("bigint"))
     return df.groupBy("split").agg(

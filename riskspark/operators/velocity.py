@@ -19,7 +19,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.operators.lookups import hot_keys
-from riskspark.operators.sizing import is_small
 
 # Feature name and trailing seconds.
 WINDOWS = {"trans_velocity_1h": 3600, "trans_velocity_24h": 86400}
@@ -37,7 +36,6 @@ def card_velocity(
     history: DataFrame | None = None,
     hot_rows: int | None = None,
     slice_seconds: int = 3600,
-    small: bool | None = None,
 ) -> DataFrame:
     """Adds one count per window. ``history`` rows are counted but not returned;
     ``scope`` columns keep rows of different scopes (splits) from seeing each other."""
@@ -48,11 +46,9 @@ def card_velocity(
         unseen = _rows(history, F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType), card, ts, order, amount, scope)
         moves = moves.unionByName(unseen)
 
-    if is_small(moves) if small is None else small:  # no card can be hot
-        walk = _walk(moves.withColumn("_hot", F.lit(False)), windows, scope, slice_seconds)
-        return _count_live(walk, windows, scope)
     heavy = hot_keys(moves.groupBy("_card").agg(F.count(F.lit(1)).alias("_n")), "_card", "_n", hot_rows)
-    moves = moves.join(F.broadcast(heavy.select("_card", F.lit(True).alias("_hot"))), "_card", "left")
+    heavy = F.broadcast(heavy.select(F.col("_card").alias("_heavy"), F.lit(True).alias("_hot")))
+    moves = moves.join(heavy, F.col("_card").eqNullSafe(F.col("_heavy")), "left").drop("_heavy")  # rows without a card are a key, too
 
     walk = _walk(moves, windows, scope, slice_seconds)
     carried = _carry(_walk(moves.where("_hot").withColumn("_payload", F.lit(None).cast(walk.schema["_payload"].dataType)), windows, scope, slice_seconds), windows, scope, slice_seconds)

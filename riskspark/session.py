@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_local_folders: dict[str, str] = {}
 
 
 def local_session(cores: str | int = "*", app: str = "riskspark", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,14 +35,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
+    """A fresh path below the folder named by ``spark.checkpoint.dir``, or else the warehouse folder.
 
-    Without that setting a machine-local folder is used, but only when the
-    executors live in this very process.
+    Only when driver and executors are one process does a session without that
+    setting get a folder of this machine, one per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="riskspark-")
+    if not root and re.match(r"local(\[|$)", spark.sparkContext.master):
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="riskspark-")
+        root = _local_folders[app]
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Written below the shared folder and read back: computed once, and lineage ends at files."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,8 +16,8 @@ RAW_SCHEMA = """
     unix_time BIGINT, merch_lat DOUBLE, merch_long DOUBLE, is_fraud INT
 """
 REQUIRED = (
-    "trans_date_trans_time", "cc_num", "category", "amt", "lat", "long",
-    "merch_lat", "merch_long", "trans_num", "is_fraud",
+    "trans_date_trans_time", "cc_num", "merchant", "category", "amt", "lat", "long",
+    "merch_lat", "merch_long", "is_fraud",
 )
 CORRUPT = "corrupt_record"
 

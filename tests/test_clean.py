@@ -48,9 +48,14 @@ def test_clean_and_log(raw):
     }
 
 
-def test_medians_agree_on_both_plans(raw):
+def test_medians_agree_with_the_built_in(raw):
     columns = ["amt", "lat", "merch_lat"]
-    assert medians(raw, columns, small=True).first() == medians(raw, columns, small=False).first()
+    assert medians(raw, columns).first() == raw.agg(*[F.percentile(c, 0.5).alias(c) for c in columns]).first()
+
+
+def test_nan_is_a_gap(spark, raw):
+    bad = raw.withColumn("lat", F.when(F.col("trans_num") == "e", float("nan")).otherwise(F.col("lat")))
+    assert {r.trans_num: r.lat for r in C.impute_medians(bad).collect()}["e"] == medians(bad, ["lat"]).first().lat
 
 
 def test_labels(spark, raw):

@@ -42,16 +42,22 @@ def brute_areas(y, s):
 
 def test_areas(scored, rows):
     want = brute_areas([r[0] for r in rows], [r[1] for r in rows])
-    for full in (False, True):
-        got = curve_areas(scored, F.col("p"), digits=None, full=full).first()
-        assert (got.pr_auc, got.roc_auc) == pytest.approx(want, rel=1e-12)
+    got = curve_areas(scored, F.col("p"), digits=None).first()
+    assert (got.pr_auc, got.roc_auc) == pytest.approx(want, rel=1e-12)
+
+
+def test_areas_of_any_scale_and_close_scores(spark):
+    data = [(1, -3.5), (0, -1e-9), (1, 0.90000012), (0, 0.90000011), (0, 55.0), (1, 1e9), (1, float("nan")), (0, None)]
+    df = spark.createDataFrame(data, "is_fraud int, p double")
+    got = curve_areas(df, F.col("p"), digits=None).first()
+    assert (got.pr_auc, got.roc_auc) == pytest.approx(brute_areas([d[0] for d in data[:6]], [d[1] for d in data[:6]]), rel=1e-12)
 
 
 def test_full_resolution_with_crowded_scores(spark):
     rng = random.Random(9)
     data = [(int(rng.random() < 0.2), rng.choice([0.0, 1.0, 1e-9 * rng.random(), 1 - 1e-9 * rng.random(), rng.random()])) for _ in range(500)]
     df = spark.createDataFrame(data, "is_fraud int, p double")
-    got = curve_areas(df, F.col("p"), digits=None, full=True).first()
+    got = curve_areas(df, F.col("p"), digits=None).first()
     assert (got.pr_auc, got.roc_auc) == pytest.approx(brute_areas([d[0] for d in data], [d[1] for d in data]), rel=1e-12)
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators.quantiles import quantiles
+from riskspark.operators.quantiles import medians, quantiles
 
 PROBS = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "p99": 0.99, "hi": 1.0}
 
@@ -17,15 +17,15 @@ def test_distributed_plan_is_exact(spark, name):
         "constant": np.full(9, 3.0), "tiny": np.array([5.0, 1.0]), "negative": -np.exp(rng.normal(size=300) * 5),
     }[name]
     df = spark.createDataFrame([(float(v),) for v in data] + [(None,), (float("nan"),)], "v double")
-    for slices in (4, 8192):
-        row = quantiles(df, "v", PROBS, small=False, slices=slices).first()
-        assert [row[n] for n in PROBS] == pytest.approx([np.quantile(data, p) for p in PROBS.values()], rel=1e-12)
+    row = quantiles(df, "v", PROBS).first()
+    assert [row[n] for n in PROBS] == pytest.approx([np.quantile(data, p) for p in PROBS.values()], rel=1e-12)
 
 
-def test_groups_and_plans_agree(txns):
+def test_groups_agree_with_the_built_in(txns):
     by = ("category", "is_fraud")
-    short = {tuple(r[:2]): r[2:] for r in quantiles(txns, "amt", PROBS, by=by, small=True).collect()}
-    spread = {tuple(r[:2]): r[2:] for r in quantiles(txns, "amt", PROBS, by=by, small=False).collect()}
+    built_in = txns.groupBy(*by).agg(*[F.percentile("amt", p).alias(n) for n, p in PROBS.items()])
+    short = {tuple(r[:2]): r[2:] for r in built_in.collect()}
+    spread = {tuple(r[:2]): r[2:] for r in quantiles(txns, "amt", PROBS, by=by).collect()}
     assert short.keys() == spread.keys()
     for k in short:
         assert short[k] == pytest.approx(spread[k])
@@ -33,4 +33,17 @@ def test_groups_and_plans_agree(txns):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "v double")
-    assert quantiles(df, "v", {"m": 0.5}, small=False).select(F.col("m").isNull()).first()[0]
+    assert quantiles(df, "v", {"m": 0.5}).select(F.col("m").isNull()).first()[0]
+
+
+def test_null_groups_nan_and_infinite_values(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", float("nan")), ("a", 2.0), ("a", float("inf")), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in quantiles(df, "v", {"m": 0.0}, by=("g",)).collect()}
+    assert got == {None: 1.0, "a": 2.0}
+    assert quantiles(df, "v", {"m": 1.0}).first().m == float("inf")
+
+
+def test_medians_skip_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("nan"),), (float("nan"),)], "v double")
+    assert medians(df, ["v"]).first().v == 2.0

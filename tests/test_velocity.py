@@ -45,16 +45,16 @@ def test_tie_fixture(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_random_rows_against_definition_on_both_plans(spark, seed):
+def test_random_rows_against_definition(spark, seed):
     rng = random.Random(seed)
     rows = [
         (rng.choice([rng.randrange(0, 200_000), 3600 * rng.randrange(0, 50)]), rng.choice([1, 1, 1, 2, 3]), None if rng.random() < 0.05 else 1.0)
         for _ in range(300)
     ]
     df, want = frame(spark, rows), brute(rows)
-    assert counts(card_velocity(df, small=True)) == want
-    assert counts(card_velocity(df, small=False, hot_rows=50)) == want  # card 1 runs in slices
-    assert counts(card_velocity(df, small=False, hot_rows=10, slice_seconds=7 * 3600)) == want
+    assert counts(card_velocity(df)) == want
+    assert counts(card_velocity(df, hot_rows=50)) == want  # card 1 runs in slices
+    assert counts(card_velocity(df, hot_rows=10, slice_seconds=7 * 3600)) == want
 
 
 def test_agrees_with_pandas_rolling(spark, txns):
@@ -73,7 +73,7 @@ def test_history_counts_but_is_not_returned(spark):
     whole = counts(card_velocity(df))
     cut = F.lit(START + dt.timedelta(seconds=3000))
     for hot in (10**6, 2):
-        part = counts(card_velocity(df.where(F.col("trans_ts") > cut), history=df.where(F.col("trans_ts") <= cut), small=False, hot_rows=hot))
+        part = counts(card_velocity(df.where(F.col("trans_ts") > cut), history=df.where(F.col("trans_ts") <= cut), hot_rows=hot))
         assert part == {k: v for k, v in whole.items() if k in part} and len(part) == 6
 
 

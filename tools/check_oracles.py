@@ -2,7 +2,7 @@
 
     python tools/check_oracles.py [--distributed] [sf_dir] [name or prefix ...]
 
-With --distributed no input counts as small, so every operator takes its distributed plan.
+With --distributed no lookup is broadcast and keys of 20 rows count as hot.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pandas as pd
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from riskspark.catalog import oracles, queries  # noqa: E402
-from riskspark.operators import lookups, sizing  # noqa: E402
+from riskspark.operators import lookups  # noqa: E402
 from riskspark.session import local_session  # noqa: E402
 
 
@@ -46,7 +46,6 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
 def main() -> None:
     words = [w for w in sys.argv[1:] if w != "--distributed"]
     if len(words) < len(sys.argv) - 1:
-        sizing.SMALL_BYTES = -1
         lookups.BROADCAST_ROWS, lookups.HOT_ROWS = -1, 20
     sf_dir = words[0] if words else "/root/testdata/sf0.01"
     wanted = tuple(words[1:])
