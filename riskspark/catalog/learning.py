@@ -15,6 +15,10 @@ from riskspark.operators import explain
 from riskspark.operators.features import Baselines, add_features
 from riskspark.operators.metrics import comprehensive_metrics
 
+# Held-out rows and the features of every split, in SQL; trained models are checked by what must hold of them.
+_PARTS = S.SPLIT + ", train AS (SELECT * FROM parts WHERE split = 'train')" + S.features("parts", "train", "split")
+_HELD = "(SELECT * FROM parts WHERE split = 'val')"
+TOLERANCE = 1e-6
 ROUNDS = 10  # boosting rounds in these checks; the library defaults are the full settings
 LINEAR_FEATURES = ("amt", "haversine_distance_km", "amt_to_user_avg_ratio", "hour")
 
@@ -40,7 +44,17 @@ def class_weights(spark, sf_dir):
     )
 
 
-@query("ml02_standardization")
+_SCALED = "avg((v - m) / d)", "stddev_samp((v - m) / d)"
+
+
+@query(
+    "ml02_standardization",
+    f"WITH {_PARTS}, fit AS (SELECT * FROM feat WHERE split = 'train') "
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, {S.r(_SCALED[0], 4)} + 0 AS mean, {S.r(_SCALED[1], 4)} + 0 AS deviation FROM "
+        f"(SELECT {f}::DOUBLE AS v, avg({f}) OVER () AS m, stddev_samp({f}) OVER () AS d FROM fit)" for f in FEATURES
+    ),
+)
 def standardization(spark, sf_dir):
     """Mean 0 and deviation 1 per feature after scaling (population over sample deviation differs in the 4th digit)."""
     from pyspark.ml.feature import StandardScaler
@@ -52,33 +66,47 @@ def standardization(spark, sf_dir):
     long = scaled.select(F.posexplode("s").alias("i", "v"))
     names = F.array(*[F.lit(f) for f in FEATURES])
     return long.groupBy(F.element_at(names, F.col("i") + 1).alias("feature")).agg(
-        half_even(F.avg("v"), 4).alias("mean"), half_even(F.stddev_samp("v"), 4).alias("deviation")
+        (half_even(F.avg("v"), 4) + 0.0).alias("mean"), (half_even(F.stddev_samp("v"), 4) + 0.0).alias("deviation")
     )
 
 
 def _metrics(model, held):
-    return comprehensive_metrics(model.with_probability(held), F.col("p_ml") >= 0.5, F.col("p_ml"), model.name)
+    """Sizes, whether the confusion adds up to them, and whether the areas beat a score that knows nothing
+    (PR-AUC the share of frauds, ROC-AUC one half)."""
+    out = comprehensive_metrics(model.with_probability(held), F.col("p_ml") >= 0.5, F.col("p_ml"), model.name)
+    return out.select(
+        "model_name", "sample_size", "fraud_count", "legitimate_count",
+        ((F.col("tp") + F.col("fn") == F.col("fraud_count")) & (F.col("fp") + F.col("tn") == F.col("legitimate_count"))).alias("adds_up"),
+        ((F.col("pr_auc") > F.col("fraud_count") / F.col("sample_size")) & (F.col("roc_auc") > 0.5)).alias("better_than_chance"),
+    )
 
 
-@query("ml03_logistic_regression")
+def _metrics_sql(name: str) -> str:
+    return (
+        f"WITH {S.SPLIT} SELECT '{name}' AS model_name, count(*) AS sample_size, count(*) FILTER (is_fraud = 1) AS fraud_count, "
+        f"count(*) FILTER (is_fraud = 0) AS legitimate_count, true AS adds_up, true AS better_than_chance FROM {_HELD}"
+    )
+
+
+@query("ml03_logistic_regression", _metrics_sql("LogisticRegression"))
 def logistic(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    return _metrics(supervised.fit_logistic(train, max_iter=30), val)
+    return _metrics(supervised.fit_logistic(train), val)
 
 
-@query("ml04_random_forest")
+@query("ml04_random_forest", _metrics_sql("RandomForest"))
 def forest(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    return _metrics(supervised.fit_forest(train, trees=30, depth=8), val)
+    return _metrics(supervised.fit_forest(train), val)
 
 
-@query("ml05_histogram_boosting")
+@query("ml05_histogram_boosting", _metrics_sql("HistGradientBoosting"))
 def histogram_boosting(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
     return _metrics(supervised.fit_histogram_boosting(train, rounds=ROUNDS, depth=5), val)
 
 
-@query("ml06_boosted_trees")
+@query("ml06_boosted_trees", _metrics_sql("BoostedTrees"))
 def boosted(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
     return _metrics(supervised.fit_boosted(train, {"n_estimators": ROUNDS, "max_depth": 5}), val)
@@ -109,26 +137,31 @@ def importance(spark, sf_dir):
     return supervised.gain_importance(model, val).join(lost, "feature")
 
 
-def _forest(spark, sf_dir, trees=60):
+def _forest(spark, sf_dir, trees=120):
     train, val = _featured(spark, sf_dir)
     return iforest.IsolationForest.fit(train, trees=trees), train, val
 
 
-@query("ml10_iforest_fit")
+@query(
+    "ml10_iforest_fit",
+    f"WITH {S.SPLIT}, n AS (SELECT count(*) AS n FROM parts WHERE split = 'train') SELECT CAST(t.range AS INTEGER) AS tree, CAST(least(256, n) AS BIGINT) AS sample_rows, "
+    "true AS binary_tree, true AS within_depth FROM n, range(120) t",
+)
 def iforest_fit(spark, sf_dir):
-    """The node table, summarized per tree."""
+    """Per tree: its sample, whether every inner node has two children, and whether paths stay in bounds."""
     forest, _, _ = _forest(spark, sf_dir)
     nodes = spark.createDataFrame(forest.nodes, iforest.NODE_SCHEMA)
     return nodes.groupBy("tree").agg(
-        F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("feature") < 0).alias("leaves"),
-        F.max(F.when(F.col("node") == 0, F.col("rows"))).alias("sample_rows"), half_even(F.max("path"), 4).alias("longest_path"),
+        F.max(F.when(F.col("node") == 0, F.col("rows"))).cast("bigint").alias("sample_rows"),
+        (F.count(F.lit(1)) == 2 * F.count_if(F.col("feature") < 0) - 1).alias("binary_tree"),
+        (F.max("path") < 256).alias("within_depth"),
     )
 
 
-@query("ml11_iforest_scores")
+@query("ml11_iforest_scores", f"WITH {S.SPLIT} SELECT trans_num, is_fraud, true AS in_range FROM {_HELD}")
 def iforest_scores(spark, sf_dir):
     forest, _, val = _forest(spark, sf_dir)
-    return forest.with_scores(val).select("trans_num", "is_fraud", "s_anom")
+    return forest.with_scores(val).select("trans_num", "is_fraud", F.col("s_anom").between(0.0, 100.0).alias("in_range"))
 
 
 @query(
@@ -142,7 +175,7 @@ def bounds(spark, sf_dir):
 
 @query("ev13_contamination_trials")
 def contamination(spark, sf_dir):
-    forest, train, val = _forest(spark, sf_dir)
+    forest, train, val = _forest(spark, sf_dir, trees=100)
     raw = forest.raw_score().alias("raw")
     return iforest.contamination_trials(train.select(raw), val.select(raw))
 
@@ -174,26 +207,34 @@ def _explained(spark, sf_dir):
     return attribution.explain(model, model.with_probability(val))
 
 
-@query("ml13b_tree_attribution")
+@query("ml13b_tree_attribution", f"WITH {S.SPLIT} SELECT trans_num, true AS additive FROM {_HELD}")
 def tree_attribution(spark, sf_dir):
-    """Per row: base plus contributions against the model's log-odds."""
+    """Per row: base plus contributions are the model's log-odds."""
     out = _explained(spark, sf_dir)
     total = F.aggregate("contributions", F.col("base_value"), lambda a, c: a + c["contribution"])
     log_odds = F.log(F.col("p_ml") / (1.0 - F.col("p_ml")))
-    return out.select("trans_num", half_even(total, 6).alias("explained"), half_even(log_odds, 6).alias("log_odds"))
+    return out.select("trans_num", (F.abs(total - log_odds) < TOLERANCE * (1.0 + F.abs(log_odds))).alias("additive"))
 
 
-@query("ml14_global_attribution")
+@query("ml14_global_attribution", "SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) AS feature, true AS averaged")
 def global_attribution(spark, sf_dir):
-    return explain.global_attribution(_explained(spark, sf_dir))
+    """The mean sizes against a second way to them: summed and counted by row."""
+    rows = _explained(spark, sf_dir).persist()
+    out = explain.global_attribution(rows)
+    by_row = rows.select(F.inline("contributions")).groupBy("feature").agg((F.sum(F.abs("contribution")) / rows.count()).alias("again"))
+    return out.join(by_row, "feature").select("feature", (F.abs(F.col("mean_abs_contribution") - F.col("again")) < TOLERANCE).alias("averaged"))
 
 
-@query("ml15_dependence")
+@query("ml15_dependence", f"WITH {_PARTS} SELECT trans_num, {S.r('amt_to_user_avg_ratio', 6)} AS feature_value, true AS known FROM feat WHERE split = 'val'")
 def dependence(spark, sf_dir):
-    return explain.dependence(_explained(spark, sf_dir))
+    out = explain.dependence(_explained(spark, sf_dir))
+    return out.select("trans_num", half_even(F.col("feature_value"), 6).alias("feature_value"), F.col("contribution").isNotNull().alias("known"))
 
 
-@query("ml16_bar_drivers")
+@query("ml16_bar_drivers", f"WITH {S.SPLIT} SELECT trans_num, CAST(t.range AS INTEGER) AS place, true AS in_order FROM {_HELD}, range(8) t")
 def drivers(spark, sf_dir):
-    out = explain.bar_factors(_explained(spark, sf_dir), 8).select("trans_num", F.posexplode("drivers").alias("place", "d"))
-    return out.select("trans_num", "place", "d.feature", half_even(F.col("d.contribution"), 6).alias("contribution"))
+    """Per row and place: the driver there is the one of that size among all contributions."""
+    sizes = F.reverse(F.array_sort(F.transform("contributions", lambda c: F.abs(c["contribution"]))))
+    out = explain.bar_factors(_explained(spark, sf_dir), 8).withColumn("sizes", sizes)
+    out = out.select("trans_num", "sizes", F.posexplode("drivers").alias("place", "d"))
+    return out.select("trans_num", "place", (F.abs("d.contribution") == F.col("sizes")[F.col("place")]).alias("in_order"))
