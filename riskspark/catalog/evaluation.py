@@ -114,10 +114,11 @@ def weight_benchmark(spark, sf_dir):
 @query(
     "ev08b_weight_selection",
     f"""{_BENCH}, best AS (SELECT * FROM bench WHERE total_cost = (SELECT min(total_cost) FROM bench))
-    SELECT coalesce(max(config) FILTER (pr_auc >= 0.999), min(config)) AS config, min(total_cost) AS total_cost FROM best""",
+    SELECT coalesce(arg_max(config, place) FILTER (pr_auc >= 0.999), arg_min(config, place)) AS config, min(total_cost) AS total_cost
+    FROM (SELECT *, list_position({[c[0] for c in BENCHMARK_WEIGHTS]!r}, config) AS place FROM best)""",
 )
 def weight_selection(spark, sf_dir):
-    return metrics.select_config(_benchmark(spark, sf_dir))
+    return metrics.select_config(_benchmark(spark, sf_dir), order=[c[0] for c in BENCHMARK_WEIGHTS])
 
 
 _GRID_ROWS = ", ".join(f"({i}, {a!r}::DOUBLE, {b!r}::DOUBLE, {c!r}::DOUBLE)" for i, a, b, c in simplex_weights())

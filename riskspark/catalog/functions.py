@@ -169,7 +169,6 @@ def weight_normalization(spark, sf_dir):
     return w.select("category", *[half_even(s, 6).alias(n) for s, n in zip(shares, ("w_ml", "w_anomaly", "w_rules"))])
 
 
-_UNIT_W = [repr(w / 1.0) for w in (0.60, 0.15, 0.25)]
 _LIVE_T = 0.65 + 0.20 + 0.15
 _LIVE_W = [f"{w / _LIVE_T!r}::DOUBLE" for w in (0.65, 0.20, 0.15)]
 _UNIT_T = 0.60 + 0.15 + 0.25

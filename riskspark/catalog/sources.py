@@ -151,7 +151,6 @@ def config_table(spark, sf_dir):
         2: '{"ml_weight": 0.7}',
         3: '{"low_risk_threshold": 30}',
     }
-    place = F.row_number().over(W.partitionBy().orderBy("category"))  # one row per category
     doc = F.when(F.col("i") == 1, docs[1]).when(F.col("i") == 2, docs[2]).when(F.col("i") == 3, docs[3]).otherwise("{}")
     named = txn(spark, sf_dir).groupBy(F.col("category").alias("config_id")).count()
     named = named.withColumn("i", F.row_number().over(W.partitionBy().orderBy("config_id"))).withColumn("doc", doc)

@@ -232,7 +232,3 @@ def area(src: str = "curve", by: str = "", out: str = "area", digits: int = 4) -
     lag(f, 1, 0) OVER ({p} ORDER BY score DESC) AS f0 FROM {out}_p),
 {out} AS (SELECT {s} {r('sum((x - x0) * (y + y0) / 2)', digits)} AS pr_auc, {r('sum((f - f0) * (x + x0) / 2)', digits)} AS roc_auc
   FROM {out}_l {g})"""
-
-
-def unpivot(src: str, columns, name: str = "column_name") -> str:
-    return " UNION ALL ".join(f"SELECT '{c}' AS {name}, {c} AS value FROM {src}" for c in columns)

@@ -15,13 +15,13 @@ from riskspark.operators import profile as P
 from riskspark.operators.cost import cheapest, sweep
 from riskspark.operators.curves import curve_areas, curve_points
 from riskspark.operators.fusion import with_weight_sets
-from riskspark.operators.velocity import card_velocity
+from riskspark.operators.velocity import WINDOWS, card_velocity
 
 NARROW = ("trans_num", "trans_ts", "cc_num", "amt")
 
 
 def _velocity(df, name, **kw):
-    return card_velocity(df.select(*NARROW, *kw.get("scope", ())), **kw).select("trans_num", name)
+    return card_velocity(df.select(*NARROW, *kw.get("scope", ())), windows={name: WINDOWS[name]}, **kw).select("trans_num", name)
 
 
 @query("wn01_velocity_1h", f"WITH {S.DENSE}{S.velocity('dense', 'v')} SELECT trans_num, trans_velocity_1h FROM v")

@@ -55,12 +55,13 @@ def benchmark_configs(df: DataFrame, score: str = "hybrid_score", cutoff: int =
     )
 
 
-def select_config(benchmark: DataFrame, config: str = "config") -> DataFrame:
-    """Least cost wins; among equals the last one whose PR-AUC is at least 0.999, else the first."""
+def select_config(benchmark: DataFrame, config: str = "config", order: Sequence[str] = ()) -> DataFrame:
+    """Least cost wins; among equals the last one in ``order`` (else by name) whose PR-AUC is at least 0.999, else the first."""
+    place = F.array_position(F.array(*[F.lit(name) for name in order]), F.col(config)) if order else F.col(config)
     tied = F.min("total_cost").over(W.partitionBy()) == F.col("total_cost")  # a handful of weight sets
     best = benchmark.where(F.col("total_cost").isNotNull()).withColumn("_tied", tied).where("_tied")
-    late = F.max(F.when(F.col("pr_auc") >= 0.999, F.col(config)))
-    return best.agg(F.coalesce(late, F.min(config)).alias(config), F.min("total_cost").alias("total_cost"))
+    late = F.max_by(config, F.when(F.col("pr_auc") >= 0.999, place))
+    return best.agg(F.coalesce(late, F.min_by(config, place)).alias(config), F.min("total_cost").alias("total_cost"))
 
 
 def best_weights(df: DataFrame, score: Column, config: str = "config") -> DataFrame:

@@ -124,6 +124,8 @@ def test_config_selection_ties(spark):
     assert pick([("A", 1.0, 5.0), ("B", 0.9995, 5.0), ("C", 1.0, 6.0)]) == "B"
     assert pick([("A", 0.9, 5.0), ("B", 0.9, 5.0)]) == "A"
     assert pick([("A", 1.0, 5.0), ("B", 1.0, 4.0)]) == "B"
+    listed = spark.createDataFrame([("A", 1.0, 5.0), ("B", 1.0, 5.0)], schema)
+    assert metrics.select_config(listed, order=("B", "A")).first().config == "A"
 
 
 def test_best_weights_first_wins(spark):

@@ -37,6 +37,15 @@ def test_correlations_against_numpy(txns):
             assert got[a, b] == pytest.approx(want[i, j], abs=6e-5)
 
 
+def test_correlations_are_pairwise(spark):
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 5.0), (3.0, 4.0, float("nan")), (4.0, 3.0, 1.0), (5.0, 2.5, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.feature_a, r.feature_b): r.correlation for r in P.correlation_matrix(df, ("a", "b", "c")).collect()}
+    assert got["a", "b"] == got["b", "a"] == pytest.approx(np.corrcoef([r[0] for r in rows], [r[1] for r in rows])[0, 1], abs=6e-5)
+    kept = [rows[i] for i in (1, 3, 4)]
+    assert got["a", "c"] == pytest.approx(np.corrcoef([r[0] for r in kept], [r[2] for r in kept])[0, 1], abs=6e-5)
+
+
 def test_cardinality_and_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x int, y string")
     assert {r.column_name: r.distinct_values for r in P.cardinality(df).collect()} == {"x": 2, "y": 1}
