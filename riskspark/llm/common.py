@@ -22,10 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write to the shared folder and read back: cuts lineage and survives lost executors. The write's
+    shuffle files go when it has ended, not when the driver happens to collect garbage."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_folder(spark, purpose), spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def schema_of(ddl: str) -> T.StructType:
@@ -62,7 +68,7 @@ def with_results(df: DataFrame, text_col: str, fn: Callable[[str | None], tuple]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [fn(t) for t in batch.column(len(stay)).to_pylist()]
+            rows = [fn(t.as_py()) for t in batch.column(len(stay))]  # one text at a time in Python
             made = list(zip(*rows)) if rows else [()] * width
             arrays = [batch.column(i) for i in range(len(stay))]
             arrays += [pa.array(list(v), type=arrow.field(len(stay) + i).type) for i, v in enumerate(made)]

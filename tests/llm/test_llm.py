@@ -194,12 +194,13 @@ def test_repeats_edges(spark, edge, empty):
     assert repeats.deduplicated(edge.where("doc_id = 8")).first()["n_removed"] == 0
 
 
-def test_repeats_random_strings(spark):
+@pytest.mark.parametrize("class_contexts", [1_024, 1])
+def test_repeats_random_strings(spark, class_contexts):
     rng = random.Random(5)
     pool = ["".join(rng.choices("ab", k=rng.choice((150, 199, 200, 201, 260, 420)))) for _ in range(6)]
     texts = [("".join(rng.choice([*pool, "x", "é", "ab" * 40]) for _ in range(rng.randint(1, 5)))) for _ in range(60)]
     data = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
-    got = repeats.deduplicated(spark.createDataFrame(data, SCHEMA))
+    got = repeats.deduplicated(spark.createDataFrame(data, SCHEMA), class_contexts=class_contexts)
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats([d[:2] for d in data])
 
 
