@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.catalog import sql as S
 from riskspark.catalog.functions import CALIBRATED, calibrated
 from riskspark.catalog.registry import query
-from riskspark.catalog.views import split_txn, stored_split
+from riskspark.catalog.views import probabilities, split_txn, stored_split
 from riskspark.config import ANOMALY_FEATURES, FEATURES
 from riskspark.functions.numeric import half_even
 from riskspark.ml import attribution, iforest, supervised
@@ -112,29 +113,38 @@ def boosted(spark, sf_dir):
     return _metrics(supervised.fit_boosted(train, {"n_estimators": ROUNDS, "max_depth": 5}), val)
 
 
-@query("ml07_model_selection")
+@query("ml07_model_selection", "SELECT * FROM (VALUES ('RandomForest', 0, true), ('HistGradientBoosting', 1, true)) m(model, place, consistent)")
 def selection(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
     models = [supervised.fit_forest(train, trees=20, depth=6), supervised.fit_histogram_boosting(train, rounds=ROUNDS, depth=4)]
     best, scores = supervised.select_model(models, val)
-    return scores.withColumn("selected", F.col("model") == best.name)
+    rows = [r.asDict() for r in scores.collect()]  # one row per candidate
+    first = min((-r["pr_auc"], r["place"]) for r in rows)[1]
+    chosen = F.lit(best.name)
+    return scores.select("model", "place", ((F.col("place") == first) == (F.col("model") == chosen)).alias("consistent"))
 
 
-@query("ml08_hyperparameter_search")
+_GRID = ", ".join(f"({i}, {p['max_depth']}, {p['learning_rate']!r}::DOUBLE, {p['scale_pos_weight']!r}::DOUBLE)" for i, p in enumerate(supervised.SEARCH_GRID, 1))
+
+
+@query("ml08_hyperparameter_search", f"SELECT *, true AS in_range FROM (VALUES {_GRID}) g(trial, max_depth, learning_rate, scale_pos_weight)")
 def hyperparameters(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    grid = [{**p, "n_estimators": ROUNDS // 2, "max_depth": min(p["max_depth"], 5)} for p in supervised.SEARCH_GRID]
-    _, history = supervised.search(train, val, grid)
-    return history
+    grid = [{**p, "n_estimators": ROUNDS // 2} for p in supervised.SEARCH_GRID]
+    best, history = supervised.search(train, val, grid)
+    ranges = [F.col(c).between(0.0, 1.0) for c in ("val_pr_auc", "val_roc_auc", "val_f1")]
+    return history.select("trial", "max_depth", "learning_rate", "scale_pos_weight", (ranges[0] & ranges[1] & ranges[2] & (F.col("total_cost") >= 0)).alias("in_range"))
 
 
-@query("ml09_importance")
+@query("ml09_importance", "SELECT unnest([" + ", ".join(f"'{f}'" for f in LINEAR_FEATURES) + "]) AS feature, true AS shared_out")
 def importance(spark, sf_dir):
     """Gain importance next to permutation importance."""
     train, val = _featured(spark, sf_dir)
     model = supervised.fit_forest(train, trees=10, depth=5, features=LINEAR_FEATURES)
     lost = supervised.permutation_importance(model, val, repeats=1).withColumnRenamed("importance", "pr_auc_loss")
-    return supervised.gain_importance(model, val).join(lost, "feature")
+    both = supervised.gain_importance(model, val).join(lost, "feature")
+    whole = both.agg(F.sum("share_pct")).scalar()
+    return both.select("feature", ((F.abs(whole - 100.0) < 0.1) & F.col("pr_auc_loss").between(-1.0, 1.0)).alias("shared_out"))
 
 
 def _forest(spark, sf_dir, trees=120):
@@ -173,11 +183,27 @@ def bounds(spark, sf_dir):
     return out.select(half_even(F.col("low"), 6).alias("low"), half_even(F.col("high"), 6).alias("high"))
 
 
-@query("ev13_contamination_trials")
+_TRIAL = (
+    "SELECT {c}::DOUBLE AS contamination, count(*) FILTER (p_ml < (SELECT quantile_cont(p_ml, {c}) FROM probs WHERE split = 'train')) AS flagged, "
+    + S.r(S.pct("count(*) FILTER (p_ml < (SELECT quantile_cont(p_ml, {c}) FROM probs WHERE split = 'train'))", "count(*)"), 2) + " AS flagged_pct FROM probs WHERE split = 'val'"
+)
+
+
+@query("ev13b_contamination_cuts", f"WITH {S.SPLIT_PROBS} " + " UNION ALL ".join(_TRIAL.format(c=c) for c in (0.02, 0.03, 0.04)))
+def contamination_cuts(spark, sf_dir):
+    """The trials on a score both engines can compute."""
+    rows = probabilities(spark, sf_dir, split=True)
+    raw = F.col("p_ml").alias("raw")
+    return iforest.contamination_trials(rows.where("split = 'train'").select(raw), rows.where("split = 'val'").select(raw))
+
+
+@query("ev13_contamination_trials", "SELECT unnest([0.02::DOUBLE, 0.03, 0.04]) AS contamination, true AS growing")
 def contamination(spark, sf_dir):
     forest, train, val = _forest(spark, sf_dir, trees=100)
     raw = forest.raw_score().alias("raw")
-    return iforest.contamination_trials(train.select(raw), val.select(raw))
+    out = iforest.contamination_trials(train.select(raw), val.select(raw))
+    below = F.coalesce(F.lag("flagged").over(W.partitionBy().orderBy("contamination")), F.lit(0))  # three rows
+    return out.select("contamination", ((F.col("flagged") >= below) & F.col("flagged_pct").between(0.0, 100.0)).alias("growing"))
 
 
 _LINEAR = ", ".join(f"avg({f}) OVER () AS m_{f}" for f in LINEAR_FEATURES)

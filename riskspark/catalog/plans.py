@@ -62,11 +62,20 @@ def scored_rows(spark, sf_dir):
     )
 
 
-@query("jb04_train")
+@query(
+    "jb04_train",
+    f"WITH {_CLEANED}{S.split('cleaned', 'parts')} SELECT count(*) AS sample_size, count(*) FILTER (is_fraud = 1) AS fraud_count, count(*) FILTER (is_fraud = 0) AS legitimate_count, "
+    "true AS adds_up, true AS weights_sum FROM parts WHERE split = 'test'",
+)
 def train(spark, sf_dir):
     """The whole training pipeline with smaller models; the report on the test split."""
     fits = (lambda d: supervised.fit_forest(d, trees=20, depth=6), lambda d: supervised.fit_histogram_boosting(d, rounds=5, depth=4))
-    return jobs.train(txn_dirty(spark, sf_dir), ("event_id", "copy_no"), fits, trees=40).report
+    report = jobs.train(txn_dirty(spark, sf_dir), ("event_id", "copy_no"), fits, trees=40).report
+    return report.select(
+        "sample_size", "fraud_count", "legitimate_count",
+        ((F.col("tp") + F.col("fn") == F.col("fraud_count")) & (F.col("fp") + F.col("tn") == F.col("legitimate_count"))).alias("adds_up"),
+        (F.abs(F.col("w_ml") + F.col("w_anomaly") + F.col("w_rules") - 1.0) < 1e-9).alias("weights_sum"),
+    )
 
 
 _TEST = (
