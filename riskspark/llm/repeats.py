@@ -163,7 +163,8 @@ def repeated_spans(docs: DataFrame, length: int, class_contexts: int) -> DataFra
     """k1, k2, __spans: unmerged [start, end) runs covered by repeated strings, for documents that have any."""
     rows = position_rows(docs, length)
     again = rows.groupBy("name").agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")).where("n > 1")
-    hit = stored(rows.join(again.select("name", (F.col("c0") != F.col("c1")).alias("mixed")), "name"), "repeats-positions")
+    again = stored(again.select("name", (F.col("c0") != F.col("c1")).alias("mixed")), "repeats-names")  # a table: the join may split hot names
+    hit = stored(rows.join(again, "name"), "repeats-positions")
     mixed = hit.where("mixed")
     contexts = stored(mixed.groupBy("name", "ctx").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "pos")).alias("first")), "repeats-contexts")
     large = stored(contexts.groupBy("name").agg(F.count("*").alias("c")).where(F.col("c") > class_contexts).select("name", F.lit(True).alias("large")), "repeats-large")
@@ -176,7 +177,7 @@ def repeated_spans(docs: DataFrame, length: int, class_contexts: int) -> DataFra
     classes = strings.where("part is not null").groupBy("name").agg(F.collect_list(F.struct("weight", *KEY, "start", "part")).alias("members"))
     local = class_spans(classes.select("members"), length)
     rest = strings.where("part is null")
-    twice = rest.groupBy("hi", "lo").agg(F.sum("weight").alias("n")).where("n > 1")
+    twice = stored(rest.groupBy("hi", "lo").agg(F.sum("weight").alias("n")).where("n > 1").select("hi", "lo"), "repeats-twice")
     single = rest.where("weight = 1").join(twice, ["hi", "lo"], "left_semi").select(*KEY, "start", (F.col("start") + length).alias("end"))
     span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
     return stored(whole.union(local).union(single).groupBy(*KEY).agg(F.collect_list(span).alias("__spans")), "repeats-spans")
