@@ -60,18 +60,26 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return docs.join(F.broadcast(sample), docs[id_col] == sample["__id"]).select(F.col(text_col).alias("text"), "toxic", remainder(id_col).alias("fold"))
 
 
-def pair_counts(sample: DataFrame) -> DataFrame:
+def pair_counts(sample: DataFrame, chunk: int = 200_000) -> DataFrame:
     """toxic, before, word, n: documents of a class that hold a word after another."""
-    def count(texts: list, toxic: list) -> list:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
-        for text, t in zip(texts, toxic):
-            words = words_of(text)
-            found.update((t, v, w) for v, w in set(zip(["", *words], words)))
-        if not found:
-            return [[], [], [], []]
-        return [*map(list, zip(*found)), list(found.values())]
-
-    made = map_batches(sample.select("text", "toxic"), count, "toxic int, before string, word string, n long")
+
+        def emit() -> pa.RecordBatch:
+            toxic, before, word = zip(*found) if found else ((), (), ())
+            cols = [pa.array(toxic, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(list(found.values()), pa.int64())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["toxic", "before", "word", "n"])
+
+        for batch in batches:
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = words_of(text.as_py())
+                found.update((toxic, v, w) for v, w in set(zip(["", *words], words)))
+                if len(found) > chunk:  # bounded memory; Spark sums the chunks
+                    yield emit()
+        yield emit()
+
+    made = sample.select("text", "toxic").mapInArrow(run, "toxic int, before string, word string, n long")
     return made.groupBy("toxic", "before", "word").agg(F.sum("n").alias("n"))
 
 
@@ -83,8 +91,8 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[s
         found: Counter = Counter()
         every = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = set(words_of(text))
+            for text in batch.column(0):
+                own = set(words_of(text.as_py()))
                 every += len(own)
                 found.update(own & known.value)
         found[""] = every
