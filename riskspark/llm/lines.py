@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import with_results
+from riskspark.llm.common import stored, with_results
 
 CUTS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r\f\v]*\n\s*")}
 FIELDS = "n_units long, n_removed long, removed_chars long, removed_spans array<struct<start: int, end: int>>, kept string"
@@ -74,6 +74,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     units = digests(keyed.select(F.col("__text").alias("text"), F.col("__id").alias("id"), F.col("__th").alias("th")), unit, min_words)
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("th").alias("th"), F.col("start").alias("start"))
     earliest = units.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(rank).alias("keep")).where("n > 1").select("hi", "lo", "keep")
+    earliest = stored(earliest, "lines-earliest")  # a table: the join may split hot lines
     later = units.join(earliest, ["hi", "lo"]).where(rank != F.col("keep"))
     spans = later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     between = "\n" if unit == "line" else "\n\n"
