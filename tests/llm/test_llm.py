@@ -11,7 +11,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.llm import catalog, decontaminate, jaccard, lines, mixing, quality, repeats, secrets, shards, simhash, toxicity, warc
+from riskspark.llm import catalog, decontaminate, lines, mixing, quality, repeats, secrets, shards, simhash, toxicity, warc
 from riskspark.session import shared_folder
 from tests.llm import brute
 
@@ -435,31 +435,8 @@ def test_warc_empty_and_foreign(spark, tmp_path):
 
 # ---- pipeline -----------------------------------------------------------------------------------------
 
-def jaccard_firsts(rows):
-    """The least id of each class, from all pairs of five-word sets at 0.8 or more."""
-    sets = []
-    for i, t in rows:
-        w = (t or "").encode().lower().split()
-        sets.append((i, {tuple(w[p : p + 5]) for p in range(max(len(w) - 4, 1))} if w else set()))
-    root = list(range(len(sets)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, (_, s) in enumerate(sets):
-        for b, (_, t) in enumerate(sets[:a]):
-            if 10 * len(s & t) >= 8 * len(s | t):
-                root[find(a)] = find(b)
-    least = {}
-    for k, (i, _) in enumerate(sets):
-        least[find(k)] = min(least.get(find(k), i), i)
-    return sorted(least.values())
-
-
 def near_copies():
-    """Chains, a large group and strangers that share a long passage, around a similarity of 0.8."""
+    """Chains, a large group and strangers that share a long passage."""
     rng, out = random.Random(3), []
     for group, n in ((1, 120), (2, 12), (3, 12), (4, 3)):
         words = passage(group, 150).split()
@@ -480,13 +457,7 @@ def test_pipeline_near_duplicates(spark):
     made = near_copies()
     d = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in made], SCHEMA)
     got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, d, SF)
-    assert sorted(r["doc_id"] for r in got.collect()) == jaccard_firsts(made) and got.columns == d.columns
-
-
-def test_jaccard_edges(edge, empty):
-    kept = jaccard.deduplicated(edge)
-    assert kept.where("doc_id = 4").count() == 1 and kept.where("doc_id in (5, 2, 3)").count() == 0 and kept.where("doc_id is null").count() == 0
-    assert kept.columns == edge.columns and jaccard.deduplicated(empty).count() == 0
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted({c for _, c in brute.simhash(made).values()}) and got.columns == d.columns
 
 
 def test_pipeline_stages(spark, docs):
@@ -511,6 +482,23 @@ def test_pipeline_stages(spark, docs):
     assert sorted(stage["decontaminate"][2]) == sorted(i for i, v in brute.decontaminate(left, items).items() if not v[-1])
 
 
+def test_pipeline_edges(spark, edge):
+    """Nulls, empty and long texts, repeated rows, ties and clashing column names in every stage."""
+    import corpus_pipeline
+
+    extra = edge.selectExpr("*", "doc_id as component_id", "text as fp", "1 as shard_no", "lang as kept_sha256")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, extra, SF)
+        if name != "shards":
+            assert got.columns == extra.columns
+        ids = {r["doc_id"] for r in got.select("doc_id").collect()}
+        assert ids <= {r[0] for r in EDGE} and 8 in ids
+        if name == "near_duplicates":
+            assert got.where("doc_id = 4").count() == 1 and not ids & {2, 3, 5}
+        elif name != "quality":
+            assert got.count() >= len(EDGE)
+
+
 def test_pipeline_empty(spark, empty):
     import corpus_pipeline
 
