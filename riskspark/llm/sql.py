@@ -167,7 +167,61 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
 FROM w
 """
 
+CRC_STEPS = "SELECT range AS k, range AS v FROM range(256)"
+for _ in range(8):
+    CRC_STEPS = f"SELECT k, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) AS v FROM ({CRC_STEPS})"
+CRC_TABLE = f"crc AS (SELECT list(v::BIGINT ORDER BY k) AS crc FROM ({CRC_STEPS}))"
+
+
+def crc32(x: str) -> str:
+    """Of an ASCII text, with ``crc`` from ``CRC_TABLE`` in scope."""
+    codes = f"list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda v, b: xor(v >> 8, crc[(xor(v, b) & 255) + 1])), 4294967295::BIGINT)"
+
+
+def tree_levels(name: str, start: str, levels: int) -> str:
+    """CTEs {name}0.. of (s, i, h, m nodes of s, before, after), from ``start`` (s, i, h); a lone node stays as it is."""
+    out = []
+    for k in range(levels + 1):
+        source = start if k == 0 else (
+            f"SELECT s, i // 16 AS i, CASE WHEN max(m) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k - 1} GROUP BY s, i // 16")
+        side = "coalesce(string_agg(h, '') OVER (PARTITION BY s, i // 16 ORDER BY i ROWS BETWEEN {}), '')"
+        out.append(
+            f"{name}{k} AS (SELECT *, count(*) OVER (PARTITION BY s) AS m, {side.format('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS before, "
+            f"{side.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS after FROM ({source}))")
+    return ",\n".join(out)
+
+
+def folding(name: str, start: str, place: str, levels: int) -> str:
+    """Carries f (folded) and p (siblings so far) of ``start`` through the levels."""
+    at = start
+    for k in range(levels):
+        at = (
+            f"SELECT x.* REPLACE (CASE WHEN m = 1 THEN f ELSE sha256(before || f || after) END AS f, p || before || after AS p) "
+            f"FROM ({at}) x JOIN (SELECT s AS ts, i AS ti, m, before, after FROM {name}{k}) t ON ts = x.{place[0]} AND ti = x.{place[1]} // {16**k}")
+    return at
+
+
+def encoded(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END" for c in columns) + ")"
+
+
+MANIFEST = f"""
+WITH {CRC_TABLE},
+leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS s, {encoded('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+    CASE WHEN {crc32('doc_id::VARCHAR')} % 5 = 0 THEN {encoded('doc_id', 'source', 'lang', 'n_chars', folded('text'))} END AS claim FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+{tree_levels('t', 'SELECT s, i, leaf AS h FROM placed', 5)},
+subs AS (SELECT s, h AS subroot, row_number() OVER (ORDER BY s) - 1 AS j FROM t5),
+{tree_levels('u', "SELECT '' AS s, j AS i, subroot AS h FROM subs", 4)},
+inner_fold AS ({folding('t', "SELECT doc_id, s, i, leaf, coalesce(claim, leaf) AS f, '' AS p FROM placed", ('s', 'i'), 5)}),
+located AS (SELECT doc_id, leaf, f, p, subroot, '' AS top, j FROM inner_fold x JOIN subs ON subs.s = x.s),
+whole AS ({folding('u', 'SELECT * FROM located', ('top', 'j'), 4)})
+SELECT doc_id, leaf, subroot, u4.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = u4.h AS verified FROM whole, u4
+"""
+
 ORACLES: dict[str, str | None] = {
     "op1_mixing": MIXING, "op2_lines": LINES, "op4_repeats": REPEATS, "op6_decontaminate": DECONTAMINATE, "op7_secrets": SECRETS,
-    "op8_quality": QUALITY, "op10_warc": WARC,
+    "op8_quality": QUALITY, "op10_warc": WARC, "op12_manifest": MANIFEST,
 }

@@ -130,3 +130,44 @@ def lines(docs: list[tuple], min_words: int = 10) -> dict:
 
 def crc(x) -> int:
     return zlib.crc32(str(x).encode())
+
+
+def merkle(docs: list[tuple], tampered=lambda i: i is not None and crc(i) % 5 == 0) -> list[tuple]:
+    """(doc_id, source, lang, n_chars, text) -> rows of doc_id, leaf, subroot, root, proof, folded, verified."""
+    def enc(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def leaf(i, s, lang, n, t):
+        return sha256("".join(map(enc, (i, s, lang, n, t))))
+
+    def tree(leaves):
+        """root, and per leaf its [(before, after)]."""
+        paths, at, level = [[] for _ in leaves], list(range(len(leaves))), leaves
+        while len(level) > 1:
+            for k, a in enumerate(at):
+                run = level[a // 16 * 16 : a // 16 * 16 + 16]
+                paths[k].append(("".join(run[: a % 16]), "".join(run[a % 16 + 1 :])))
+            level = [sha256("".join(level[a : a + 16])) for a in range(0, len(level), 16)]
+            at = [a // 16 for a in at]
+        return level[0], paths
+
+    by = defaultdict(list)
+    for d in docs:
+        by[d[1]].append(d)
+    names = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    made = {}
+    for s in names:
+        rows = sorted(by[s], key=lambda d: (d[0] is not None, d[0] or 0, leaf(*d)))
+        made[s] = (rows, *tree([leaf(*d) for d in rows]))
+    if not names:
+        return []
+    root, tops = tree([made[s][1] for s in names])
+    out = []
+    for s, top in zip(names, tops):
+        rows, sub, paths = made[s]
+        for d, path in zip(rows, paths):
+            cur = leaf(*d[:4], re.sub("[A-Z]", lambda m: m[0].lower(), d[4]) if d[4] is not None and tampered(d[0]) else d[4])
+            for a, b in path + top:
+                cur = sha256(a + cur + b)
+            out.append((d[0], leaf(*d), sub, root, sha256("".join(a + b for a, b in path + top)), cur, cur == root))
+    return out
