@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import decontaminate, lines, merkle, mixing, quality, repeats, secrets, shards, simhash, toxicity, warc
+from riskspark.llm import decontaminate, lines, merkle, mixing, quality, repeats, runs, secrets, shards, simhash, toxicity, warc
 from riskspark.llm.common import table
 from riskspark.llm.sql import ORACLES
 from riskspark.session import shared_folder
@@ -77,6 +77,18 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"), claim=merkle.tampered_leaf())
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of each document, repetitions planted in a tenth of them first."""
+    found = runs.found(runs.with_planted(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("from"), (-r["period"]).alias("by"))))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    made = found.withColumn("best", best)
+    return made.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.from")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.by")).alias("period"), F.expr("1000 * best.length div -best.by").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -85,7 +97,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_lines, op3_toxicity, op4_repeats, op5_shards, op6_decontaminate, op7_secrets, op8_quality, op9_simhash,
-        op10_warc, op12_manifest, pipeline,
+        op10_warc, op12_manifest, op13_runs, pipeline,
     )
 }
 

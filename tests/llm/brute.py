@@ -171,3 +171,36 @@ def merkle(docs: list[tuple], tampered=lambda i: i is not None and crc(i) % 5 ==
                 cur = sha256(a + cur + b)
             out.append((d[0], leaf(*d), sub, root, sha256("".join(a + b for a, b in path + top)), cur, cur == root))
     return out
+
+
+def planted(i, text: str | None) -> list[str]:
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    if i is None or crc(i) % 10 or not w:
+        return w
+    g, n = crc(i) // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (k - a) % p] for k in range(a, n)]
+
+
+def runs(w: list, least: int = 12) -> list[tuple[int, int, int]]:
+    """(start, length, period): every period's stretches of equal words, the least period of each."""
+    best: dict[tuple[int, int], int] = {}
+    for q in range(1, len(w) // 2 + 1):
+        a = 0
+        for i in range(len(w) - q + 1):
+            if i == len(w) - q or w[i] != w[i + q]:
+                if i - a >= q and i - a + q >= least:
+                    best.setdefault((a, i - a + q), q)
+                a = i + 1
+    return sorted((a, n, q) for (a, n), q in best.items())
+
+
+def run_row(i, text: str | None) -> tuple:
+    w = planted(i, text)
+    found = sorted(runs(w), key=lambda r: (r[0], r[2]))
+    gone = {k for a, n, q in found for k in range(a + q, a + n)}
+    top = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    return (
+        i, len(found), *((top[0], top[1], top[2], 1000 * top[1] // top[2]) if top else (None,) * 4),
+        sha256("".join(f"{a},{n},{q}\n" for a, n, q in found)), sha256(" ".join(x for k, x in enumerate(w) if k not in gone)))
