@@ -221,7 +221,30 @@ whole AS ({folding('u', 'SELECT * FROM located', ('top', 'j'), 4)})
 SELECT doc_id, leaf, subroot, u4.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = u4.h AS verified FROM whole, u4
 """
 
+# Six equal words q apart, six being the least that a run repeats, found as equal sequences of six words.
+RUNS = rf"""
+WITH {CRC_TABLE},
+docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS o, {crc32('doc_id::VARCHAR')} AS h FROM documents, crc),
+ends AS (SELECT doc_id, o, len(o) AS n, h % 10 = 0 AND len(o) > 0 AS planted, CASE WHEN len(o) > 0 THEN (h // 10) % len(o) ELSE 0 END AS a, (h // 10) % 8 AS g FROM docs),
+texts AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g)) END]) ELSE o END AS w FROM ends),
+grams AS (SELECT doc_id, i, array_to_string(list_slice(w, i + 1, i + 6), ' ') AS six FROM texts, LATERAL (SELECT unnest(range(n - 5)) AS i) WHERE n >= 12),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.six = y.six AND x.i < y.i),
+islands AS (SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM islands WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+stats AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(start := start, length := length, period := period), (-length, start, period)) AS best,
+    sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, k FROM runs, LATERAL (SELECT unnest(range(start + period, start + length)) AS k)),
+places AS (SELECT doc_id, k, w[k + 1] AS word FROM texts, LATERAL (SELECT unnest(range(n)) AS k)),
+kept AS (SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY k)) AS collapsed_sha256 FROM places ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start AS start, best.length AS length, best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+  coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+FROM texts t LEFT JOIN stats s ON t.doc_id = s.doc_id LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
 ORACLES: dict[str, str | None] = {
     "op1_mixing": MIXING, "op2_lines": LINES, "op4_repeats": REPEATS, "op6_decontaminate": DECONTAMINATE, "op7_secrets": SECRETS,
-    "op8_quality": QUALITY, "op10_warc": WARC, "op12_manifest": MANIFEST,
+    "op8_quality": QUALITY, "op10_warc": WARC, "op12_manifest": MANIFEST, "op13_runs": RUNS,
 }
