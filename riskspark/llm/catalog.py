@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskspark.llm import decontaminate, lines, merkle, mixing, quality, repeats, runs, secrets, shards, simhash, toxicity, warc
+from riskspark.llm import bytecnn, decontaminate, lines, merkle, mixing, quality, repeats, runs, secrets, shards, simhash, toxicity, warc
 from riskspark.llm.common import table
 from riskspark.llm.sql import ORACLES
 from riskspark.session import shared_folder
@@ -72,6 +72,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(warc.read_archive(spark, path))
 
 
+def op11_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bytecnn.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents; where 5 divides the id's crc32, of a document whose text was lower-cased since."""
     return merkle.verified(table(spark, sf_dir, "documents"), claim=merkle.tampered_leaf())
@@ -97,7 +102,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_lines, op3_toxicity, op4_repeats, op5_shards, op6_decontaminate, op7_secrets, op8_quality, op9_simhash,
-        op10_warc, op12_manifest, op13_runs, pipeline,
+        op10_warc, op11_quality_network, op12_manifest, op13_runs, pipeline,
     )
 }
 

@@ -58,9 +58,16 @@ def map_batches(df: DataFrame, fn: Callable[..., list], ddl: str, keep: bool = F
     return df.mapInArrow(run, out)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where an input column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def with_results(df: DataFrame, text_col: str, fn: Callable[[str | None], tuple], ddl: str) -> DataFrame:
     """One result row per input row: every input column, then the columns of ``ddl`` from ``fn(text)``."""
-    new, text = schema_of(ddl), "__text"
+    new, text = schema_of(ddl), unused(df, "__text")
     width = len(new.names)
     stay = [c for c in df.columns if c not in new.names]
     out = T.StructType([*[df.schema[c] for c in stay], *new.fields])

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import with_results
+from riskspark.llm.common import unused, with_results
 
 LEAST = 12
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -242,5 +242,5 @@ def with_planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return (b" ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)]).decode(),)
 
     crc = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary"))
-    given = docs.withColumn("__in", F.struct(F.col(f"`{text_col}`").alias("t"), crc.alias("h")))
-    return with_results(given, "__in", row, f"`{text_col}` string").select(*[F.col(f"`{c}`") for c in docs.columns])
+    given = docs.withColumn(unused(docs, "__in"), F.struct(F.col(f"`{text_col}`").alias("t"), crc.alias("h")))
+    return with_results(given, given.columns[-1], row, f"`{text_col}` string").select(*[F.col(f"`{c}`") for c in docs.columns])
