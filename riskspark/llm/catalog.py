@@ -22,10 +22,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: lines, removed lines with their code point offsets, and a digest of what stays."""
+    """Per document: lines, removed lines with their code point offsets, a digest of what stays, lines that other documents hold."""
     found = lines.deduplicated(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("removed_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return found.select("doc_id", "n_units", "n_removed", "removed_chars", spans.alias("removed_spans"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id", "n_units", "n_removed", "removed_chars", spans.alias("removed_spans"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+        "n_repeated", "repeated_words", "n_long_repeated")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

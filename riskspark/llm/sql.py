@@ -39,14 +39,19 @@ WITH parts AS (
 placed AS (
   SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(line) - 1)::BIGINT AS a,
     array_to_string(regexp_extract_all({folded('line')}, '{WORD}'), ' ') AS plain, len(regexp_extract_all(line, '{WORD}')) AS n FROM parts),
-ranked AS (SELECT *, n >= 10 AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, a) > 1 AS gone FROM placed),
+ranked AS (
+  SELECT *, n > 0 AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, a) > 1 AS gone,
+    n > 0 AND min(doc_id) OVER (PARTITION BY plain) <> max(doc_id) OVER (PARTITION BY plain) AS elsewhere FROM placed),
 made AS (
   SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed, coalesce(sum(length(line)) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
     coalesce(string_agg(a || ':' || (a + length(line)), ',' ORDER BY a) FILTER (WHERE gone), '') AS removed_spans,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256,
+    count(*) FILTER (WHERE elsewhere) AS n_repeated, coalesce(sum(n) FILTER (WHERE elsewhere), 0)::BIGINT AS repeated_words,
+    count(*) FILTER (WHERE elsewhere AND n >= 20) AS n_long_repeated
   FROM ranked GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0)::BIGINT AS removed_chars,
-  coalesce(removed_spans, '') AS removed_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+  coalesce(removed_spans, '') AS removed_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256,
+  coalesce(n_repeated, 0) AS n_repeated, coalesce(repeated_words, 0)::BIGINT AS repeated_words, coalesce(n_long_repeated, 0) AS n_long_repeated
 FROM documents d LEFT JOIN made m ON d.doc_id = m.doc_id
 """
 

@@ -109,22 +109,33 @@ def quality_base(text: str | None) -> tuple:
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(again), failed
 
 
-def lines(docs: list[tuple], min_words: int = 10) -> dict:
-    """id -> (n_units, n_removed, removed_chars, spans, kept_sha256)."""
+def lines(docs: list[tuple]) -> dict:
+    """id -> (n_units, n_removed, removed_chars, spans, kept_sha256, n_repeated, repeated_words, n_long_repeated)."""
+    def key_of(line: str) -> str:
+        return " ".join(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), line)))
+
+    holders = defaultdict(set)
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            holders[key_of(line)].add(i)
     seen: set = set()
     out = {}
     for i, t in sorted(docs, key=lambda d: d[0]):
-        at, gone, kept, n = 0, [], [], 0
+        at, gone, kept, n, shared = 0, [], [], 0, []
         for line in (t or "").split("\n") if t else []:
             n += 1
-            key = " ".join(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), line)))
-            if len(key.split(" ")) >= min_words and key in seen:
+            key = key_of(line)
+            if key and len(holders[key]) > 1:
+                shared.append(len(key.split(" ")))
+            if key and key in seen:
                 gone.append((at, at + len(line)))
             else:
                 kept.append(line)
                 seen.add(key)
             at += len(line) + 1
-        out[i] = (n, len(gone), sum(b - a for a, b in gone), ",".join(f"{a}:{b}" for a, b in gone), sha256("\n".join(kept)))
+        out[i] = (
+            n, len(gone), sum(b - a for a, b in gone), ",".join(f"{a}:{b}" for a, b in gone), sha256("\n".join(kept)),
+            len(shared), sum(shared), sum(w >= 20 for w in shared))
     return out
 
 

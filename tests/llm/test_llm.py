@@ -129,7 +129,7 @@ def test_mixing_edges(edge, empty):
 
 def test_lines_brute(docs, plain):
     got = catalog.QUERIES["op2_lines"](docs.sparkSession, SF)
-    assert by_id(got, "n_units", "n_removed", "removed_chars", "removed_spans", "kept_sha256") == brute.lines(plain)
+    assert by_id(got, "n_units", "n_removed", "removed_chars", "removed_spans", "kept_sha256", "n_repeated", "repeated_words", "n_long_repeated") == brute.lines(plain)
 
 
 def test_lines_edges(edge, empty):
@@ -140,8 +140,20 @@ def test_lines_edges(edge, empty):
     assert found[5]["kept"] == "" and found[None]["n_removed"] == 1  # null ids rank last
     assert [tuple(s) for s in found[7]["removed_spans"]] == [(len("x " + passage(2) + " y\n"), len(EDGE[8][1]))]
     assert [tuple(s) for s in found[10]["removed_spans"]] == [(len(passage(4)) + 1, 2 * len(passage(4)) + 1)]
+    assert [found[k]["n_repeated"] for k in (4, 5, 6, 7, 9, 10)] == [1, 1, 1, 1, 0, 0]  # the first occurrence shows, too
+    assert found[6]["n_long_repeated"] == 1 and found[6]["repeated_words"] == 60 and found[3]["n_units"] == 2
     assert lines.deduplicated(empty).count() == 0
     assert lines.deduplicated(edge, unit="paragraph").count() == len(EDGE)
+    clash = edge.selectExpr("*", "'x' as id", "'y' as th", "2 as units", "3 as __at", "4 as hi")
+    assert lines.deduplicated(clash).select("__at", "units", "id").distinct().collect() == [(3, 2, "x")]
+
+
+def test_lines_short_units(spark):
+    """Menus and footers of few words go, blank lines stay."""
+    d = spark.createDataFrame([(1, "Home\n\nAbout us\nText one"), (2, "home\n\nABOUT  US\nText two"), (3, "About us")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["kept"], r["n_removed"]) for r in lines.deduplicated(d).collect()}
+    assert found == {1: ("Home\n\nAbout us\nText one", 0), 2: ("\nText two", 2), 3: ("", 1)}
+    assert {r["n_removed"] for r in lines.deduplicated(d, min_words=3).collect()} == {0}
 
 
 # ---- toxicity -------------------------------------------------------------------------
