@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskspark.config import FROZEN_FUSION, TIERS, FusionConfig
 from riskspark.operators.features import Baselines, add_features
 from riskspark.plans.jobs import score_table
+from riskspark.streaming.keyed import watermarked, with_velocity
 
 
 def read_transactions(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -21,23 +22,26 @@ def read_transactions(spark: SparkSession, path: str, schema, files_per_trigger:
 
 
 def score_stream(
-    stream: DataFrame, base: Baselines, sources: Callable[[DataFrame], DataFrame], cfg: FusionConfig = FROZEN_FUSION
+    stream: DataFrame, base: Baselines, sources: Callable[[DataFrame], DataFrame], cfg: FusionConfig = FROZEN_FUSION,
+    delay: str = "1 hour", **velocity_options,
 ) -> DataFrame:
-    """Stream-static lookups and pure Columns; ``sources`` adds ``p_ml`` and ``s_anom``. Velocity is
-    used where the stream carries it and neutral otherwise."""
-    featured = add_features(stream, base, velocity=False)
+    """Velocity from keyed state, then stream-static lookups and pure Columns; ``sources`` adds ``p_ml`` and
+    ``s_anom``. A row comes out once the watermark has passed it."""
+    counted = with_velocity(stream, delay, **velocity_options)
+    featured = add_features(counted, base, velocity=False)
     return score_table(sources(featured), cfg, details=False)
 
 
 def deduplicated(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """One row per transaction id among those that arrive within ``delay`` of each other."""
-    return stream.withWatermark("trans_ts", delay).dropDuplicatesWithinWatermark(["trans_num"])
+    return watermarked(stream, delay).dropDuplicatesWithinWatermark(["trans_num"])
 
 
-def tier_counts(scored: DataFrame, window: str = "1 hour", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Rows and frauds per time window and tier; counts are combined per task before the shuffle."""
+def tier_counts(scored: DataFrame, window: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Rows and frauds per time window and tier of a scored stream, by its own watermark; counts are
+    combined per task before the shuffle."""
     span = F.window("trans_ts", window, slide) if slide else F.window("trans_ts", window)
-    return scored.withWatermark("trans_ts", delay).groupBy(span.alias("window"), "risk_level").agg(
+    return scored.groupBy(span.alias("window"), "risk_level").agg(
         F.count(F.lit(1)).alias("total"), F.sum(F.col("is_fraud").cast("bigint")).alias("fraud_count")
     )
 
