@@ -1,15 +1,21 @@
 """Shapley attribution of the fitted models, row by row, in log-odds (forests: probability).
 
-Linear models have a closed form. For trees, each leaf touches few features;
-its contribution depends only on which of their conditions a row meets, so all
-outcomes are tabulated once per leaf and rows look them up in batches.
+Linear models have a closed form. For trees, a leaf's value is shared out among the features on the way to
+it. With share_j the part of the training rows that pass feature j's conditions and met_j whether the row meets
+them, feature i gets
+
+    value * (met_i - share_i) * integral over t in [0, 1] of the product over j != i of (share_j * (1 - t) + met_j * t).
+
+The integrand is a polynomial of degree d - 1 for d features, so Gauss-Legendre with (d + 1) // 2 points is exact, and
+a leaf is d numbers of each kind, whatever its depth. The model's arrays are bounded by its nodes times its features; they
+are broadcast after their bytes are counted.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -22,15 +28,42 @@ from riskspark.operators.explain import linear_contributions
 from riskspark.session import shared_folder
 
 
+MODEL_BYTES = 256 << 20  # what may be sent to every executor
+CELLS = 1 << 20          # rows times leaves times features worked on at once
+
+
 @dataclass
-class Leaf:
-    """The features on the way to a leaf, the interval each must lie in, and the contribution of
-    every feature for every combination of met conditions."""
+class Leaves:
+    """All leaves with the same number of features on their way: a row of each array per leaf."""
 
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    table: np.ndarray
+    share: np.ndarray
+    amount: np.ndarray
+
+    @property
+    def bytes(self) -> int:
+        return sum(a.nbytes for a in (self.features, self.low, self.high, self.share, self.amount))
+
+    def add_to(self, phi: np.ndarray, x: np.ndarray) -> None:
+        n, d = self.features.shape
+        points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
+        points, weights = (points + 1) / 2, weights / 2
+        some = max(1, CELLS // (d * max(len(x), 1)))
+        for a in range(0, n, some):
+            f, share, amount = self.features[a : a + some], self.share[a : a + some], self.amount[a : a + some]
+            values = x[:, f]
+            met = ((values > self.low[a : a + some]) & (values <= self.high[a : a + some])).astype(float)
+            inner = np.zeros_like(met)
+            for t, w in zip(points, weights):
+                factors = share * (1 - t) + met * t
+                inner += w * factors.prod(axis=2, keepdims=True) / factors
+            given = inner * (met - share) * amount[:, None]
+            for i in range(d):
+                to = np.zeros((len(f), phi.shape[1]))
+                to[np.arange(len(f)), f[:, i]] = 1.0
+                phi += given[:, :, i] @ to
 
 
 def explain(model: FraudModel, df: DataFrame, name: str = "contributions") -> DataFrame:
@@ -39,6 +72,9 @@ def explain(model: FraudModel, df: DataFrame, name: str = "contributions") -> Da
     if isinstance(model.classifier, LogisticRegressionModel):
         return _explain_linear(model, df, name)
     leaves, base = tree_leaves(df.sparkSession, model)
+    size = sum(group.bytes for group in leaves)
+    if size > MODEL_BYTES:
+        raise ValueError(f"the model's {size} bytes of leaves are over the {MODEL_BYTES} that are sent to every executor")
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     width = len(model.features)
 
@@ -63,16 +99,15 @@ def _explain_linear(model: FraudModel, df: DataFrame, name: str) -> DataFrame:
     return linear_contributions(df, weights, means, float(logistic.intercept), name)
 
 
-def _batch(x: np.ndarray, leaves: list[Leaf], width: int) -> np.ndarray:
+def _batch(x: np.ndarray, leaves: list[Leaves], width: int) -> np.ndarray:
     phi = np.zeros((len(x), width))
-    for leaf in leaves:
-        values = x[:, leaf.features]
-        met = (values > leaf.low) & (values <= leaf.high)
-        phi[:, leaf.features] += leaf.table[met @ (1 << np.arange(len(leaf.features)))]
+    for a in range(0, len(x), 1024):
+        for group in leaves:
+            group.add_to(phi[a : a + 1024], x[a : a + 1024])
     return phi
 
 
-def tree_leaves(spark: SparkSession, model: FraudModel) -> tuple[list[Leaf], float]:
+def tree_leaves(spark: SparkSession, model: FraudModel) -> tuple[list[Leaves], float]:
     """Leaves of every tree, read from the saved model (its size is set by its parameters)."""
     path = shared_folder(spark, "trees")
     model.classifier.write().overwrite().save(path)
@@ -87,15 +122,27 @@ def tree_leaves(spark: SparkSession, model: FraudModel) -> tuple[list[Leaf], flo
         raise TypeError(f"no tree attribution for {type(model.classifier).__name__}")
     boosted = isinstance(model.classifier, GBTClassificationModel)
     cover = (lambda n: n.impurityStats[0]) if boosted else (lambda n: sum(n.impurityStats))
-    leaves, base = [], 0.0
+    found, base = [], 0.0
     for tree, part in nodes.groupby("treeID"):
         rows = {n.id: n for n in part.itertuples()}
         for leaf, conditions in _walk(rows, cover):
             amount = value(leaf) * scale[tree]
             base += amount * float(np.prod([z for _, _, z in conditions.values()]))
-            if conditions:
-                leaves.append(_tabulate(amount, conditions))
-    return leaves, float(base)
+            if conditions and amount:
+                found.append((amount, conditions))
+    return grouped(found), float(base)
+
+
+def grouped(found: list[tuple[float, dict]]) -> list[Leaves]:
+    """From (value, feature -> (low, high, share)) of every leaf."""
+    by_size: dict[int, list] = defaultdict(list)
+    for amount, conditions in found:
+        by_size[len(conditions)].append((amount, list(conditions), *zip(*conditions.values())))
+    out = []
+    for _, rows in sorted(by_size.items()):
+        amount, features, low, high, share = zip(*rows)
+        out.append(Leaves(np.array(features), np.array(low, float), np.array(high, float), np.array(share, float), np.array(amount, float)))
+    return out
 
 
 def _walk(rows: dict, cover) -> Iterator[tuple]:
@@ -111,23 +158,3 @@ def _walk(rows: dict, cover) -> Iterator[tuple]:
         for child, bounds in ((node.leftChild, (low, min(high, cut))), (node.rightChild, (max(low, cut), high))):
             passing = share * cover(rows[child]) / cover(node)
             stack.append((rows[child], {**conditions, f: (*bounds, passing)}))
-
-
-def _tabulate(amount: float, conditions: dict) -> Leaf:
-    """Shapley values of ``amount * product(met or share)`` for all 2**d outcomes of d conditions."""
-    features = np.array(list(conditions))
-    low, high, share = (np.array(v, dtype=float) for v in zip(*conditions.values()))
-    d = len(features)
-    met = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
-    order = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)])
-    table = np.empty((2**d, d))
-    for i in range(d):
-        by_size = np.zeros((2**d, d))  # coefficient per number of features already known
-        by_size[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                known = np.zeros_like(by_size)
-                known[:, 1:] = by_size[:, :-1] * met[:, [j]]
-                by_size = by_size * share[j] + known
-        table[:, i] = amount * (met[:, i] - share[i]) * (by_size @ order)
-    return Leaf(features, low, high, table)

@@ -66,20 +66,46 @@ def test_contributions_add_up_to_the_output(frame, kind):
         assert total(r) == pytest.approx(output, abs=1e-6)
 
 
-def test_tabulated_leaf_is_the_shapley_value():
-    conditions = {2: (0.0, 1.0, 0.3), 5: (0.0, 1.0, 0.6), 7: (0.0, 1.0, 0.2)}
-    leaf = attribution._tabulate(4.0, conditions)
-    share = [0.3, 0.6, 0.2]
-    for pattern in range(8):
-        met = [(pattern >> i) & 1 for i in range(3)]
-        game = lambda known: 4.0 * np.prod([met[j] if j in known else share[j] for j in range(3)])
-        for i in range(3):
-            others = [j for j in range(3) if j != i]
-            want = sum(
-                factorial(len(s)) * factorial(2 - len(s)) / 6 * (game({*s, i}) - game(set(s)))
-                for k in range(3) for s in combinations(others, k)
-            )
-            assert leaf.table[pattern, i] == pytest.approx(want)
+def enumerated(amount, conditions, met):
+    """Shapley values over all coalitions of the game amount * product(met or share)."""
+    share, d = [z for _, _, z in conditions.values()], len(conditions)
+    game = lambda known: amount * np.prod([met[j] if j in known else share[j] for j in range(d)])
+    return [
+        sum(factorial(len(s)) * factorial(d - 1 - len(s)) / factorial(d) * (game({*s, i}) - game(set(s)))
+            for k in range(d) for s in combinations([j for j in range(d) if j != i], k))
+        for i in range(d)
+    ]
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 6, 9])
+def test_leaf_is_the_shapley_value(d):
+    rng = np.random.default_rng(d)
+    conditions = {2 * j: (0.0, 1.0, z) for j, z in enumerate(rng.uniform(0.05, 0.95, d))}
+    leaves = attribution.grouped([(4.0, conditions), (-1.5, conditions)])
+    patterns = rng.integers(0, 2, (12, d))
+    x = np.full((12, 2 * d), 9.0)
+    x[:, ::2] = np.where(patterns == 1, 0.5, 2.0)
+    got = attribution._batch(x, leaves, 2 * d)
+    for row, met in zip(got, patterns):
+        assert row[::2] == pytest.approx(enumerated(2.5, conditions, list(met)), abs=1e-12) and not row[1::2].any()
+
+
+def test_deep_trees_on_noisy_labels(frame):
+    """150 rounds of depth 10 over labels that follow nothing: leaves of every depth, additive, and few bytes."""
+    noisy = frame.withColumn("is_fraud", (F.xxhash64("trans_num") % 2 == 0).cast("int"))
+    model = supervised.fit_histogram_boosting(noisy, rounds=150, depth=10, features=FEATURES)
+    leaves, _ = attribution.tree_leaves(noisy.sparkSession, model)
+    assert sum(len(g.amount) for g in leaves) > 3000 and sum(g.bytes for g in leaves) < 20 << 20
+    for r in attribution.explain(model, model.with_probability(noisy)).collect():
+        output = np.log(r.p_ml / (1 - r.p_ml))
+        assert total(r) == pytest.approx(output, abs=1e-6)
+
+
+def test_large_models_are_refused(frame, monkeypatch):
+    model = supervised.fit_forest(frame, 2, 3, FEATURES)
+    monkeypatch.setattr(attribution, "MODEL_BYTES", 10)
+    with pytest.raises(ValueError):
+        attribution.explain(model, frame)
 
 
 def test_model_round_trip_and_selection(frame, tmp_path):
