@@ -13,6 +13,7 @@ from riskspark.operators import fusion, metrics
 from riskspark.operators.cost import cheapest, cost_breakdown, policy_comparison, sweep
 from riskspark.operators.curves import curve_areas
 from riskspark.operators.rules import apply_signals
+from riskspark.session import stored
 
 _SIZES = f"tp + fp + fn + tn AS sample_size, tp + fn AS fraud_count, fp + tn AS legitimate_count, {S.r(S.div('tp + fn', 'tp + fp + fn + tn') + ' * 100', 2)} AS fraud_rate_percent"
 
@@ -100,7 +101,7 @@ _BENCH = (
 
 def _benchmark(spark, sf_dir):
     df = with_surrogates(apply_signals(features(spark, sf_dir), details=False)).select("is_fraud", "amt", "p_ml", "s_anom", "behavioral_score")
-    out = fusion.with_weight_sets(df, BENCHMARK_WEIGHTS)
+    out = fusion.with_weight_sets(stored(df, "components"), BENCHMARK_WEIGHTS)
     weights = (F.col("w_ml"), F.col("w_anomaly"), F.col("w_rules"))
     score = fusion.fuse(F.col("p_ml"), F.col("s_anom"), F.col("behavioral_score"), weights)
     return metrics.benchmark_configs(out.withColumn("hybrid_score", score))
@@ -133,9 +134,8 @@ _GRID_SCORE = "wa * p_ml + wb * (s_anom / 100.0::DOUBLE) + wc * (behavioral_scor
 def weight_grid(spark, sf_dir):
     """PR-AUC of every weight set on the simplex grid, in one job partitioned by weight set."""
     df = with_surrogates(apply_signals(features(spark, sf_dir), details=False)).select("is_fraud", "p_ml", "s_anom", "behavioral_score")
-    out = fusion.with_weight_sets(df, simplex_weights())
     mixed = F.col("w_ml") * F.col("p_ml") + F.col("w_anomaly") * (F.col("s_anom") / 100.0) + F.col("w_rules") * (F.col("behavioral_score") / 100.0)
-    return curve_areas(out, mixed, by=("config",), digits=6).select("config", "pr_auc")
+    return fusion.grid_areas(df, simplex_weights(), mixed, ("p_ml", "s_anom", "behavioral_score")).select("config", "pr_auc")
 
 
 _MIX = "CAST(least(greatest(round_even(0.75::DOUBLE * (p_ml * 100) + 0.25::DOUBLE * s_anom, 0), 0), 100) AS INTEGER)"

@@ -14,7 +14,7 @@ from riskspark.functions.numeric import half_even
 from riskspark.operators import audit
 from riskspark.operators.curves import curve_areas
 from riskspark.operators.features import Baselines
-from riskspark.operators.fusion import with_weight_sets
+from riskspark.operators.fusion import source_counts, with_weight_sets
 from riskspark.operators.metrics import metrics_at, model_comparison
 from riskspark.sources.fixtures import order_txn
 
@@ -122,9 +122,11 @@ _GRID_VALUES = ", ".join(f"({i}, {a!r}::DOUBLE, {b!r}::DOUBLE, {c!r}::DOUBLE)" f
     f"{S.r('avg(w_ml * p_ml + w_anomaly * s_anom / 100)', 6)} AS mean_score FROM probs CROSS JOIN grid GROUP BY config",
 )
 def grid(spark, sf_dir):
-    out = with_weight_sets(probabilities(spark, sf_dir).select("p_ml", "s_anom"), simplex_weights())
+    """The grid meets distinct score pairs with their counts, not the rows."""
+    pairs = source_counts(probabilities(spark, sf_dir), ("p_ml", "s_anom")).withColumn("n", F.col("pos") + F.col("neg"))
+    out = with_weight_sets(pairs, simplex_weights())
     score = F.col("w_ml") * F.col("p_ml") + F.col("w_anomaly") * F.col("s_anom") / 100.0
-    return out.groupBy("config").agg(F.count(F.lit(1)).alias("rows"), half_even(F.avg(score), 6).alias("mean_score"))
+    return out.groupBy("config").agg(F.sum("n").alias("rows"), half_even(F.sum(score * F.col("n")) / F.sum("n"), 6).alias("mean_score"))
 
 
 @query(

@@ -23,6 +23,15 @@ def confusion(df: DataFrame, flagged: Column, label: str = "is_fraud", amount: s
     return df.groupBy(*by).agg(*aggs)
 
 
+def counted_confusion(df: DataFrame, flagged: Column, label: str = "is_fraud", rows: str = "n", amount: str = "amount") -> DataFrame:
+    """The same from rows that stand for ``rows`` transactions of ``amount`` together."""
+    pos = F.col(label) == 1
+    cells = {"tp": pos & flagged, "fp": ~pos & flagged, "fn": pos & ~flagged, "tn": ~pos & ~flagged}
+    total = lambda c, x, none: F.coalesce(F.sum(F.when(c, F.col(x))), none)
+    return df.agg(
+        *[total(c, rows, F.lit(0).cast("bigint")).alias(n) for n, c in cells.items()], *[total(c, amount, F.lit(0.0)).alias(f"{n}_amt") for n, c in cells.items()])
+
+
 def rates() -> dict[str, Column]:
     """Ratios of the confusion counts; an undefined ratio is 0."""
     tp, fp, fn, tn = (F.col(c) for c in CELLS)
@@ -111,17 +120,21 @@ def cheapest(swept: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return swept.groupBy(*by).agg(best).select(*by, "_best.*")
 
 
-def policy_comparison(df: DataFrame, flagged: Column, cfg: CostConfig) -> DataFrame:
-    """Approving everything against the policy at hand."""
+def policy_columns(cfg: CostConfig) -> list[Column]:
+    """Approving everything against the policy at hand, from confusion counts and amounts."""
     unmitigated = F.col("tp_amt") + F.col("fn_amt") + (F.col("tp") + F.col("fn")) * cfg.chargeback_fee
     missed = F.col("fn_amt") + F.col("fn") * (cfg.chargeback_fee + cfg.operational_cost)
     declined = F.col("fp_amt") * cfg.merchant_margin + F.col("fp") * cfg.customer_friction
     saved = unmitigated - (missed + declined)
-    return confusion(df, flagged).select(
+    return [
         half_even(unmitigated, 2).alias("unmitigated_cost"),
         half_even(declined, 2).alias("fp_cost"),
         half_even(missed, 2).alias("fn_cost"),
         half_even(missed + declined, 2).alias("total_cost"),
         half_even(saved, 2).alias("net_savings"),
         half_even(ratio(saved, unmitigated) * 100.0, 2).alias("preservation_pct"),
-    )
+    ]
+
+
+def policy_comparison(df: DataFrame, flagged: Column, cfg: CostConfig) -> DataFrame:
+    return confusion(df, flagged).select(*policy_columns(cfg))

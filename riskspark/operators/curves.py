@@ -17,8 +17,21 @@ LOG_ODDS = 40.0  # of the scores between 0 and 1
 def score_histogram(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score; null and NaN scores are left out."""
     pos = (F.col(label) == 1).cast("bigint")
+    return counted_histogram(df, score, pos, 1 - pos, by)
+
+
+def counted_histogram(df: DataFrame, score: Column, pos: Column, neg: Column, by: Sequence[str] = ()) -> DataFrame:
+    """The same from rows that stand for ``pos`` positives and ``neg`` negatives."""
     scored = df.withColumn("_score", nan_to_null(score.cast("double"))).where(F.col("_score").isNotNull())
-    return scored.groupBy(*by, F.col("_score").alias("score")).agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
+    return scored.groupBy(*by, F.col("_score").alias("score")).agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
+
+
+def sliced_histogram(df: DataFrame, score: Column, pos: Column, neg: Column, by: Sequence[str]) -> DataFrame:
+    """A histogram of rows whose scores are nearly all distinct: they move once, to the task of their slice, where
+    counting, running totals and areas all take place."""
+    scored = df.select(*by, nan_to_null(score.cast("double")).alias("score"), pos.alias("pos"), neg.alias("neg")).where(F.col("score").isNotNull())
+    placed = scored.withColumn("_slice", _slice(F.col("score"))).repartition(*by, "_slice")
+    return placed.groupBy(*by, "_slice", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def _slice(score: Column) -> Column:
@@ -38,7 +51,7 @@ def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame
     and 1), then each slice runs on its own from what lies above it.
     """
     by = list(by)
-    sliced = histogram.withColumn("_slice", _slice(F.col("score")))
+    sliced = histogram if "_slice" in histogram.columns else histogram.withColumn("_slice", _slice(F.col("score")))
     above = W.partitionBy(*by).orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     offsets = (

@@ -17,11 +17,12 @@ from riskspark.operators.velocity import WINDOWS, card_velocity
 from riskspark.session import stored
 
 EPSILON = 1e-5
+UNLABELLED_RATE = 0.015  # fixed value: the fraud rate taken where no row is labelled
 
 
 def global_baselines(df: DataFrame) -> DataFrame:
     """One row: mean and median amount, fraud rate."""
-    rate = F.avg("is_fraud") if "is_fraud" in df.columns else F.lit(0.015)
+    rate = F.avg("is_fraud") if "is_fraud" in df.columns else F.lit(UNLABELLED_RATE)
     median = quantiles(df, "amt", {"median": 0.5}).scalar()
     return df.agg(F.avg(nan_to_null(F.col("amt"))).alias("global_mean"), rate.alias("global_rate")).withColumn("global_median", median)
 
@@ -46,6 +47,25 @@ def category_rates(df: DataFrame) -> DataFrame:
     )
 
 
+def amount_stats(df: DataFrame) -> DataFrame:
+    """Mean and median amount, fraud rate and rows of every category, and of everything. Equal amounts of a category
+    are counted first; both levels then share one quantile job."""
+    fraud = F.col("is_fraud") if "is_fraud" in df.columns else F.lit(None).cast("int")
+    counted = stored(
+        df.groupBy("category", nan_to_null(F.col("amt").cast("double")).alias("amt"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(fraud).alias("frauds"), F.count(fraud).alias("labelled")), "amount-counts")
+    scopes = F.array(F.struct(F.lit(True).alias("everything"), F.lit("").alias("scope")), F.struct(F.lit(False).alias("everything"), F.col("category").alias("scope")))
+    scoped = counted.select("amt", "n", "frauds", "labelled", F.inline(scopes)).where(F.col("scope").isNotNull())
+    by = ("everything", "scope")
+    paid = F.when(F.col("amt").isNotNull(), F.col("n"))
+    sums = scoped.groupBy(*by).agg(
+        (F.sum(F.col("amt") * F.col("n")) / F.sum(paid)).alias("mean"), (F.sum("frauds") / F.sum("labelled")).alias("rate"), F.sum("n").alias("rows"))
+    medians = quantiles(scoped, "amt", {"median": 0.5}, by=by, weight="n")
+    unknown = F.lit(None).cast("double") if "is_fraud" in df.columns else F.when(F.col("everything"), F.lit(UNLABELLED_RATE))
+    return sums.join(medians, list(by), "left").select(
+        "everything", F.col("scope").alias("category"), "mean", F.coalesce("rate", unknown).alias("rate"), "rows", "median")
+
+
 @dataclass
 class Baselines:
     """Lookup tables fitted on one frame (the training split), applied to any other."""
@@ -59,16 +79,14 @@ class Baselines:
 
     @classmethod
     def fit(cls, df: DataFrame, broadcast_rows: int | None = None, hot_rows: int | None = None) -> "Baselines":
-        """The lookups are written once; their counted rows decide how they are joined."""
-        categories = category_medians(df)
-        if "is_fraud" in df.columns:
-            categories = category_rates(df).join(categories, "category", "left")
-        else:
-            categories = categories.withColumns({"category_rate": F.lit(None).cast("double"), "category_rows": F.lit(0)})
-        cards, categories = stored(card_means(df), "cards"), stored(categories, "categories")
+        """Two tables are written: one row per card, and one row per category and one for all. The latter
+        comes from one pass over the counts of equal amounts. Counted rows decide how lookups are joined."""
+        cards, stats = stored(card_means(df), "cards"), stored(amount_stats(df), "amounts")
+        categories = stats.where(~F.col("everything")).select(
+            "category", F.col("rate").alias("category_rate"), F.col("rows").alias("category_rows"), F.col("median").alias("category_median"))
+        whole = stats.where("everything").select(F.col("mean").alias("global_mean"), F.col("rate").alias("global_rate"), F.col("median").alias("global_median"))
         return cls(
-            cards, categories, stored(global_baselines(df), "globals"),
-            lookups.fits(cards, broadcast_rows), lookups.fits(categories, broadcast_rows), hot_rows,
+            cards, categories, whole, lookups.fits(cards, broadcast_rows), lookups.fits(categories, broadcast_rows), hot_rows,
         )
 
     def save(self, path: str) -> None:

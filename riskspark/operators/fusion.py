@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.config import ANOMALY_CUTOFF, FROZEN_FUSION, TIERS, UNIT_FUSION, FusionConfig
 from riskspark.functions.numeric import clip, fixed, half_even
+from riskspark.operators.curves import areas, cumulative_counts, sliced_histogram
+from riskspark.session import stored
 
 
 def normalized(w_ml: Column, w_anomaly: Column, w_rules: Column) -> tuple[Column, Column, Column]:
@@ -81,6 +83,19 @@ def with_weight_sets(df: DataFrame, sets: Iterable[tuple]) -> DataFrame:
     return df.select("*", F.inline(grid))
 
 
+def source_counts(df: DataFrame, sources: Sequence[str], label: str = "is_fraud") -> DataFrame:
+    """Distinct score sources with their positives and negatives, written: what a grid of weight sets needs of the rows."""
+    pos = (F.col(label) == 1).cast("bigint")
+    return stored(df.groupBy(*sources).agg(F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg")), "sources")
+
+
+def grid_areas(df: DataFrame, sets: Iterable[tuple], mix: Column, sources: Sequence[str], label: str = "is_fraud", digits: int | None = 6) -> DataFrame:
+    """PR-AUC and ROC-AUC of every weight set in one sliced pass over the distinct sources."""
+    rows = with_weight_sets(source_counts(df, sources, label), sets)
+    histogram = sliced_histogram(rows, mix, F.col("pos"), F.col("neg"), by=("config",))
+    return areas(cumulative_counts(histogram, by=("config",)), by=("config",), digits=digits)
+
+
 def score_breakdown(
     df: DataFrame, cfg: FusionConfig = FROZEN_FUSION, p: str = "p_ml", anomaly: str = "s_anom", behaviour: str = "behavioral_score"
 ) -> DataFrame:

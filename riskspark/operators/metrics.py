@@ -21,15 +21,20 @@ def comprehensive_metrics(df: DataFrame, flagged: Column, score: Column, model:
     base = confusion(df, flagged, amount=None, by=by)
     area = curve_areas(df, score, by=by)
     joined = base.join(area, by) if by else base.withColumn("_a", area.select(F.struct("*")).scalar()).select("*", "_a.*").drop("_a")
+    return joined.select(*by, *metric_columns(model))
+
+
+def metric_columns(model: str) -> list[Column]:
+    """Sizes, rates and areas from confusion counts and areas."""
     r = rates()
     fraud = F.col("tp") + F.col("fn")
     total = fraud + F.col("fp") + F.col("tn")
-    return joined.select(
-        *by, F.lit(model).alias("model_name"), total.alias("sample_size"), fraud.alias("fraud_count"),
+    return [
+        F.lit(model).alias("model_name"), total.alias("sample_size"), fraud.alias("fraud_count"),
         (total - fraud).alias("legitimate_count"), half_even(ratio(fraud, total) * 100.0, 2).alias("fraud_rate_percent"),
         r["precision"].alias("precision"), r["recall"].alias("recall"), r["f1"].alias("f1_score"), r["f2"].alias("f2_score"),
-        "pr_auc", "roc_auc", r["fpr"].alias("false_positive_rate"), *CELLS,
-    )
+        "pr_auc", "roc_auc", r["fpr"].alias("false_positive_rate"), *map(F.col, CELLS),
+    ]
 
 
 def metrics_at(df: DataFrame, score: str, threshold: float, cfg: CostConfig = WITHOUT_OPERATIONS, by: Sequence[str] = ()) -> DataFrame:
@@ -64,11 +69,15 @@ def select_config(benchmark: DataFrame, config: str = "config", order: Sequence[
     return best.agg(F.coalesce(late, F.min_by(config, place)).alias(config), F.min("total_cost").alias("total_cost"))
 
 
-def best_weights(df: DataFrame, score: Column, config: str = "config") -> DataFrame:
+def best_of(areas: DataFrame, config: str = "config") -> DataFrame:
     """The weight set of greatest PR-AUC; the first one wins a tie."""
-    area = curve_areas(df, score, by=(config,), digits=9)
     best = F.max_by(F.struct(config, "pr_auc"), F.struct(F.col("pr_auc"), -F.col(config)))
-    return area.agg(best.alias("_b")).select("_b.*")
+    return areas.agg(best.alias("_b")).select("_b.*")
+
+
+def best_weights(df: DataFrame, score: Column, config: str = "config") -> DataFrame:
+    """The best of the weight sets that the rows carry."""
+    return best_of(curve_areas(df, score, by=(config,), digits=9), config)
 
 
 def ablation(df: DataFrame, variants: dict[str, tuple[Column, Column]]) -> DataFrame:

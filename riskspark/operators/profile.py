@@ -162,26 +162,31 @@ def hourly_profile(df: DataFrame, label: str = "is_fraud", ts: str = "trans_ts")
     )
 
 
+def _pair_correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """a, b (places in ``columns``), correlation over the rows where both are known. A row is unpivoted to its
+    pairs, which are summed before the shuffle: the aggregate stays small whatever the number of columns."""
+    values = F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns]).alias("_v")
+    listed = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    long = df.select(values).select("_v", F.inline(listed))
+    x, y = F.get("_v", F.col("a")), F.get("_v", F.col("b"))
+    return long.groupBy("a", "b").agg(half_even(F.corr(x, y), 4).alias("correlation"))
+
+
+def _named(columns: Sequence[str], place: str) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col(place))
+
+
 def label_correlations(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "is_fraud") -> DataFrame:
-    """Pearson correlation of each feature with the label, all in one aggregation, strongest first."""
-    y = F.col(label).cast("double")
-    row = df.agg(*[half_even(F.corr(F.col(f).cast("double"), y), 4).alias(f) for f in features])
-    out = unpivot_row(row, "feature", {f: f for f in features}).withColumnRenamed("value", "correlation")
-    return out.orderBy(F.abs("correlation").desc(), "feature")
+    """Pearson correlation of each feature with the label, strongest first."""
+    found = _pair_correlations(df, (*features, label), [(i, len(features)) for i in range(len(features))])
+    return found.select(_named(features, "a").alias("feature"), "correlation").orderBy(F.abs("correlation").desc(), "feature")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = (*FEATURES, "is_fraud")) -> DataFrame:
-    """All pairs in long form. A pair is correlated over the rows where both are known; one aggregation
-    serves all pairs."""
-    values = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[half_even(F.corr(values[a], values[b]), 4).alias(f"{a}|{b}") for a, b in pairs])
-    both = {(x, y) for a, b in pairs for x, y in ((a, b), (b, a))}
-    cells = [
-        F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"`{x}|{y}`" if f"{x}|{y}" in row.columns else f"`{y}|{x}`").alias("correlation"))
-        for x, y in sorted(both)
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    """All pairs in long form, each correlated once."""
+    found = _pair_correlations(df, columns, [(i, j) for i in range(len(columns)) for j in range(i, len(columns))])
+    mirrored = F.array_distinct(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
+    return found.select("correlation", F.inline(mirrored)).select(_named(columns, "x").alias("feature_a"), _named(columns, "y").alias("feature_b"), "correlation")
 
 
 def log_histogram(df: DataFrame, bins: int = 40, label: str = "is_fraud", amount: str = "amt") -> DataFrame:

@@ -20,14 +20,15 @@ def _slice(v: Column) -> Column:
     return F.floor(F.signum(v) * F.log1p(F.abs(v)) * PER_LOG).cast("bigint")
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per group with a column per named probability (linear interpolation)."""
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
+    """One row per group with a column per named probability (linear interpolation). With ``weight`` a row
+    stands for so many equal ones."""
     by = list(by)
     sliced = (
-        df.select(*by, F.col(value).cast("double").alias("_v"))
+        df.select(*by, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
         .withColumn("_slice", _slice(F.col("_v")))
     )
 

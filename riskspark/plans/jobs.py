@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.config import FROZEN_FUSION, UNIT_FUSION, WITH_OPERATIONS, WITHOUT_OPERATIONS, FusionConfig, simplex_weights
+from riskspark.config import FROZEN_FUSION, TIERS, UNIT_FUSION, WITH_OPERATIONS, WITHOUT_OPERATIONS, FusionConfig, simplex_weights
 from riskspark.functions.numeric import half_even
 from riskspark.functions.text import anomaly_reason
 from riskspark.ml import supervised
@@ -15,14 +15,14 @@ from riskspark.ml.attribution import explain
 from riskspark.ml.iforest import IsolationForest
 from riskspark.operators import fusion
 from riskspark.operators.clean import clean, fill_coordinates, infer_night_flag
-from riskspark.operators.cost import cheapest, policy_comparison, sweep
+from riskspark.operators.cost import cheapest, counted_confusion, policy_columns, rates, sweep
+from riskspark.operators.curves import areas, counted_histogram, cumulative_counts
 from riskspark.operators.explain import top_factors
 from riskspark.operators.features import Baselines, add_features
-from riskspark.operators.metrics import best_weights, comprehensive_metrics, error_rates
-from riskspark.operators.profile import tier_allocation
+from riskspark.operators.metrics import best_of, metric_columns
 from riskspark.operators.rules import apply_rules, apply_signals
 from riskspark.operators.split import stratified_split
-from riskspark.session import shared_folder
+from riskspark.session import shared_folder, stored
 from riskspark.sources import store
 
 
@@ -84,19 +84,21 @@ def explain_with_models(df: DataFrame, model: supervised.FraudModel, forest: Iso
 
 
 def held_out_evaluation(scored: DataFrame, cfg: FusionConfig = FROZEN_FUSION) -> DataFrame:
-    """One row: metrics at the frozen cut-off, costs against approving everything, tier sizes."""
-    flagged = F.col("hybrid_score") >= cfg.cutoff
-    metrics = comprehensive_metrics(scored, flagged, F.col("hybrid_score") / 100.0, "hybrid")
-    rates = error_rates(scored, flagged).select(F.struct("accuracy", "specificity", "false_negative_rate")).scalar()
-    money = policy_comparison(scored, flagged, WITHOUT_OPERATIONS).select(F.struct("*")).scalar()
-    tiers = tier_allocation(scored).agg(
-        F.map_from_entries(F.collect_list(F.struct("risk_level", "total")))  # three tiers
-    ).scalar()
-    return (
-        metrics.withColumns({"_rates": rates, "_money": money, "_tiers": tiers})
-        .select("*", "_rates.*", "_money.*", *[F.col("_tiers")[t].alias(f"{t.split()[0].lower()}_risk_rows") for t in ("LOW RISK", "MEDIUM RISK", "HIGH RISK")])
-        .drop("_rates", "_money", "_tiers")
-    )
+    """One row: metrics at the frozen cut-off, costs against approving everything, tier sizes. The rows are
+    passed once: counts and amounts per label, whole score and tier, a few hundred at most, carry all of it."""
+    cells = stored(
+        scored.groupBy("is_fraud", "hybrid_score", "risk_level").agg(F.count(F.lit(1)).alias("n"), F.sum("amt").alias("amount")), "evaluation")
+    pos = F.col("is_fraud") == 1
+    none = F.lit(0).cast("bigint")
+    histogram = counted_histogram(cells, F.col("hybrid_score") / 100.0, F.when(pos, F.col("n")).otherwise(none), F.when(pos, none).otherwise(F.col("n")))
+    area = areas(cumulative_counts(histogram)).select(F.struct("*")).scalar()
+    tiers = [F.coalesce(F.sum(F.when(F.col("risk_level") == t, F.col("n"))), none).alias(f"{t.split()[0].lower()}_risk_rows") for t in TIERS]
+    r = rates()
+    row = counted_confusion(cells, F.col("hybrid_score") >= cfg.cutoff)
+    named = row.withColumns({"_area": area, "_tiers": cells.agg(*tiers).select(F.struct("*")).scalar()}).select("*", "_area.*", "_tiers.*")
+    return named.select(
+        *metric_columns("hybrid"), r["accuracy"].alias("accuracy"), r["specificity"].alias("specificity"), r["fnr"].alias("false_negative_rate"),
+        *policy_columns(WITHOUT_OPERATIONS), *[f"{t.split()[0].lower()}_risk_rows" for t in TIERS])
 
 
 @dataclass
@@ -125,9 +127,9 @@ def train(
         "trans_num", "split", "is_fraud", "amt", "p_ml", (F.col("s_anom") / 100.0).alias("s_anom"), "rule_score"
     ).persist()
     held = sources.where(F.col("split") == "val")
-    grid = fusion.with_weight_sets(held, simplex_weights())
     mixed = F.col("w_ml") * F.col("p_ml") + F.col("w_anomaly") * F.col("s_anom") + F.col("w_rules") * F.col("rule_score")
-    _, ml, anomaly, rules = simplex_weights()[best_weights(grid, mixed).first()["config"]]
+    grid = fusion.grid_areas(held, simplex_weights(), mixed, ("p_ml", "s_anom", "rule_score"), digits=9)
+    _, ml, anomaly, rules = simplex_weights()[best_of(grid).first()["config"]]
     cfg = replace(UNIT_FUSION, w_ml=ml, w_anomaly=anomaly, w_rules=rules)
 
     scored = fusion.apply_fusion(sources, cfg, behaviour="rule_score")
