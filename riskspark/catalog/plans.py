@@ -13,11 +13,14 @@ from riskspark.catalog.views import components, features, scored, stored_split,
 from riskspark.config import FEATURES, FROZEN_FUSION
 from riskspark.functions.numeric import half_even
 from riskspark.ml import supervised
+from riskspark.ml.iforest import IsolationForest
 from riskspark.operators.features import Baselines, add_features, row_features
 from riskspark.operators.profile import tier_allocation
 from riskspark.operators.rules import apply_signals
 from riskspark.operators.fusion import apply_fusion
 from riskspark.plans import jobs, scenarios
+from riskspark.plans.deployment import Deployment, checked_requests
+from riskspark.session import shared_folder, stored
 
 _ROUNDED = ("haversine_distance_km", "amt_to_user_avg_ratio", "amt_to_cat_median_ratio", "category_fraud_rate")
 
@@ -140,6 +143,96 @@ def requests(spark, sf_dir):
     return out.select("trans_num", "hour", "day_of_week", "is_night_transaction", _rounded("haversine_distance_km"))
 
 
+# Requests as the rows of the table state them; some break a range, some leave fields out.
+_REQUESTS = f"""{S.TXN}, q0 AS (SELECT trans_num::BIGINT AS e, trans_num, category, CASE WHEN trans_num::BIGINT % 17 = 0 THEN -amt ELSE amt END AS amt,
+    CASE WHEN trans_num::BIGINT % 19 = 0 THEN 24 WHEN trans_num::BIGINT % 6 <> 0 THEN hour(trans_ts) END AS stated_hour,
+    (trans_num::BIGINT % 1500)::DOUBLE AS km, CASE WHEN trans_num::BIGINT % 3 = 0 THEN (trans_num::BIGINT % 12)::DOUBLE END AS ratio, (trans_num::BIGINT % 4)::INTEGER AS v1 FROM txn),
+  q AS (SELECT trans_num, category, amt, coalesce(stated_hour, 14) AS h, coalesce(ratio, 1) AS amt_to_user_avg_ratio, v1 AS trans_velocity_1h, 1 AS trans_velocity_24h, 1::DOUBLE AS amt_to_cat_median_ratio,
+    32.7767::DOUBLE AS lat, -96.797::DOUBLE AS long, 32.7767::DOUBLE + km / 111 AS merch_lat, -96.797::DOUBLE AS merch_long FROM q0),
+  broken AS (SELECT *, concat_ws(',', CASE WHEN amt > 0 THEN NULL ELSE 'amt' END, CASE WHEN h > 23 THEN 'hour' END, CASE WHEN amt_to_user_avg_ratio > 0 THEN NULL ELSE 'amt_to_user_avg_ratio' END) AS violations FROM q),
+  ok AS (SELECT * FROM broken WHERE violations = ''){S.distance('ok')}, feat AS (SELECT *, CASE WHEN h <= 5 THEN 1 ELSE 0 END AS is_night_transaction FROM dist){S.SEVERITIES}"""
+
+
+@query(
+    "jb06c_request_answers",
+    f"""WITH {_REQUESTS}
+    SELECT trans_num AS transaction_id, 'answered' AS outcome, '' AS violations, behavioral_score AS behavioral_risk, signal_names AS signals, true AS adds_up, true AS attributed FROM sig
+    UNION ALL SELECT trans_num, 'quarantined', violations, NULL, NULL, false, false FROM broken WHERE violations <> ''""",
+)
+def request_answers(spark, sf_dir):
+    """Requests against a saved and reloaded deployment: checked, scored, attributed, explained. Behaviour score and
+    signals are compared as values; of the models' parts, that they add up to score, tier and output."""
+    e = F.col("trans_num").cast("bigint")
+    stated = txn(spark, sf_dir).select(
+        "trans_num", "category", F.when(e % 17 == 0, -F.col("amt")).otherwise(F.col("amt")).alias("amt"),
+        F.when(e % 19 == 0, F.lit(24)).when(e % 6 != 0, F.hour("trans_ts")).alias("hour"), (e % 1500).cast("double").alias("haversine_distance_km"),
+        F.when(e % 3 == 0, (e % 12).cast("double")).alias("amt_to_user_avg_ratio"), (e % 4).cast("int").alias("trans_velocity_1h"))
+    kept = _deployment(spark, sf_dir)
+    accepted, quarantined = checked_requests(stated)
+    rows = kept.attributed(kept.request_features(accepted))
+    cfg = kept.fusion
+    mixed = F.round(cfg.w_ml * F.col("p_ml") * 100.0 + cfg.w_anomaly * F.col("s_anom") + cfg.w_rules * F.col("behavioral_score"), 6)
+    tiers = F.when(F.col("hybrid_score") <= cfg.low_max, "LOW RISK").when(F.col("hybrid_score") <= cfg.medium_max, "MEDIUM RISK").otherwise("HIGH RISK")
+    whole = F.aggregate("contributions", F.col("base_value"), lambda a, c: a + c["contribution"])
+    flags = rows.select(
+        "trans_num", ((F.abs(mixed - F.col("hybrid_score")) <= 0.5 + 1e-6) & (F.col("risk_level") == tiers)).alias("adds_up"),
+        (F.abs(whole - F.col("p_ml")) < 1e-6).alias("attributed"), "signals", "behavioral_score")
+    answered = flags.select(
+        F.col("trans_num").alias("transaction_id"), F.lit("answered").alias("outcome"), F.lit("").alias("violations"),
+        F.col("behavioral_score").alias("behavioral_risk"), F.array_join("signals.signal", "; ").alias("signals"), "adds_up", "attributed")
+    return answered.unionByName(quarantined.select(
+        F.col("trans_num").alias("transaction_id"), F.lit("quarantined").alias("outcome"), F.array_join("violations", ",").alias("violations"),
+        F.lit(None).cast("double").alias("behavioral_risk"), F.lit(None).cast("string").alias("signals"), F.lit(False).alias("adds_up"), F.lit(False).alias("attributed")))
+
+
+def _deployment(spark, sf_dir, reload=True):
+    """Forest classifier and isolation forest fitted on the training split, stored and read back."""
+    parts = stored_split(spark, sf_dir)
+    train = parts.where("split = 'train'")
+    base = Baselines.fit(train)
+    fitted = stored(add_features(train, base).select("trans_num", "is_fraud", *FEATURES), "train-features")
+    made = Deployment(supervised.fit_forest(fitted), IsolationForest.fit(fitted), base)
+    if not reload:
+        return made, parts
+    root = shared_folder(spark, "deployment")
+    made.save(spark, root, 1)
+    return Deployment.load(spark, root)
+
+
+@query(
+    "io08b_saved_models",
+    f"WITH {S.SPLIT} SELECT trans_num, 0::DOUBLE AS probability_difference, 0::DOUBLE AS anomaly_difference, 0 AS score_difference, false AS tier_changed FROM parts WHERE split = 'test'",
+)
+def saved_models(spark, sf_dir):
+    """Scores of the test split by the fitted models and by the same models saved as version 2 of a folder and loaded."""
+    made, parts = _deployment(spark, sf_dir, reload=False)
+    root = shared_folder(spark, "deployment")
+    made.save(spark, root, 2)
+    test = stored(add_features(parts.where("split = 'test'"), made.baselines, scope=("split",)), "test-features")
+    loaded = Deployment.load(spark, root, 2)
+    keep = ("p_ml", "s_anom", "hybrid_score", "risk_level")
+    both = made.scored(test).select("trans_num", F.struct(*keep).alias("a")).join(loaded.scored(test).select("trans_num", F.struct(*keep).alias("b")), "trans_num")
+    return both.select(
+        "trans_num", F.abs(F.col("a.p_ml") - F.col("b.p_ml")).alias("probability_difference"), F.abs(F.col("a.s_anom") - F.col("b.s_anom")).alias("anomaly_difference"),
+        F.abs(F.col("a.hybrid_score") - F.col("b.hybrid_score")).alias("score_difference"), (F.col("a.risk_level") != F.col("b.risk_level")).alias("tier_changed"))
+
+
+@query(
+    "jb03c_model_scores",
+    f"WITH {S.SPLIT}, train AS (SELECT * FROM parts WHERE split = 'train'){S.features('parts', 'train', 'split')}{S.SEVERITIES} "
+    "SELECT trans_num, behavioral_score, signal_count, signal_names AS signals, true AS fused FROM sig WHERE split = 'test'",
+)
+def model_scores(spark, sf_dir):
+    """The test split by fitted models: behaviour as values, the score from its three sources."""
+    made, parts = _deployment(spark, sf_dir, reload=False)
+    test = add_features(parts.where("split = 'test'"), made.baselines, scope=("split",))
+    out, cfg = made.scored(test), made.fusion
+    mixed = F.round(cfg.w_ml * F.col("p_ml") * 100.0 + cfg.w_anomaly * F.col("s_anom") + cfg.w_rules * F.col("behavioral_score"), 6)
+    return out.select(
+        "trans_num", "behavioral_score", "signal_count", F.array_join("signals.signal", "; ").alias("signals"),
+        (F.abs(mixed - F.col("hybrid_score")) <= 0.5 + 1e-6).alias("fused"))
+
+
 _CASES = ", ".join(f"('{n}', '{t}', {', '.join(f'{float(v)!r}::DOUBLE' for v in vs)})" for n, t, vs in scenarios.SCENARIOS)
 
 
