@@ -36,9 +36,10 @@ def velocity_24h(spark, sf_dir):
 
 @query("wn01b_velocity_hot_cards", f"WITH {S.DENSE}{S.velocity('dense', 'v')} SELECT trans_num, trans_velocity_1h, trans_velocity_24h FROM v")
 def velocity_hot(spark, sf_dir):
-    """The plan for cards too heavy for one task: time slices with carried counts."""
+    """The plan for cards too heavy for one task: slices of a bounded number of moves with carried counts."""
     df = txn_dense(spark, sf_dir).select(*NARROW)
-    out = card_velocity(df, hot_rows=df.count() // 20)
+    n = df.count()
+    out = card_velocity(df, hot_rows=n // 20, slice_rows=max(n // 100, 1))
     return out.select("trans_num", "trans_velocity_1h", "trans_velocity_24h")
 
 

@@ -6,8 +6,10 @@ number of live transactions, so one pass serves every window and no frame is
 ever re-scanned. Windows are left-open: an expiry at t comes before an arrival
 at t, and equal times count only rows earlier in ``order``.
 
-Cards with very many rows are cut into time slices that run as separate groups;
-a carry row per slice brings in what was live when the slice began.
+Cards with very many rows are cut into slices of consecutive arrivals and expiries that run as
+separate groups; a carry row per slice brings in what was live when the slice began. Slices are bounded in
+rows, not in time: the moves of each second are counted first, and running counts say where a slice
+ends, so a burst within an hour is many slices. Without such cards none of this is in the plan.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskspark.operators.lookups import hot_keys
+from riskspark.session import stored
 
 # Feature name and trailing seconds.
 WINDOWS = {"trans_velocity_1h": 3600, "trans_velocity_24h": 86400}
@@ -35,10 +38,12 @@ def card_velocity(
     scope: tuple[str, ...] = (),
     history: DataFrame | None = None,
     hot_rows: int | None = None,
-    slice_seconds: int = 3600,
+    slice_rows: int = 1_000_000,
+    cell_seconds: float = 1,
 ) -> DataFrame:
     """Adds one count per window. ``history`` rows are counted but not returned;
-    ``scope`` columns keep rows of different scopes (splits) from seeing each other."""
+    ``scope`` columns keep rows of different scopes (splits) from seeing each other. Moves of one
+    ``cell_seconds`` stay together; the keys of hot cards (at most 10,000) are written before the plan is made."""
     windows = windows or WINDOWS
     payload = F.struct(*[F.col(c) for c in df.columns])
     moves = _rows(df, payload, card, ts, order, amount, scope)
@@ -46,14 +51,15 @@ def card_velocity(
         unseen = _rows(history, F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType), card, ts, order, amount, scope)
         moves = moves.unionByName(unseen)
 
-    heavy = hot_keys(moves.groupBy("_card").agg(F.count(F.lit(1)).alias("_n")), "_card", "_n", hot_rows)
-    heavy = F.broadcast(heavy.select(F.col("_card").alias("_heavy"), F.lit(True).alias("_hot")))
-    moves = moves.join(heavy, F.col("_card").eqNullSafe(F.col("_heavy")), "left").drop("_heavy")  # rows without a card are a key, too
-
-    walk = _walk(moves, windows, scope, slice_seconds)
-    carried = _carry(_walk(moves.where("_hot").withColumn("_payload", F.lit(None).cast(walk.schema["_payload"].dataType)), windows, scope, slice_seconds), windows, scope, slice_seconds)
-    walk = walk.unionByName(carried.withColumn("_payload", F.lit(None).cast(walk.schema["_payload"].dataType)))
-    return _count_live(walk, windows, scope)
+    heavy = stored(hot_keys(moves.groupBy("_card").agg(F.count(F.lit(1)).alias("_n")), "_card", "_n", hot_rows).select(F.col("_card").alias("_heavy")), "hot-cards")
+    walk = _walk(moves, windows, scope)
+    if heavy.isEmpty():
+        return _count_live(walk.withColumn("_slice", F.lit(0).cast("bigint")), windows, scope)
+    marked = walk.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), F.col("_card").eqNullSafe(F.col("_heavy")), "left").drop("_heavy")  # rows without a card are a key, too
+    cold = marked.where(F.col("_hot").isNull()).drop("_hot").withColumn("_slice", F.lit(0).cast("bigint"))
+    sliced, carried = _sliced(marked.where("_hot").drop("_hot"), windows, scope, slice_rows, cell_seconds)
+    nothing = F.lit(None).cast(walk.schema["_payload"].dataType)
+    return _count_live(cold.unionByName(sliced).unionByName(carried.withColumn("_payload", nothing)), windows, scope)
 
 
 def _count_live(walk: DataFrame, windows: dict[str, int], scope) -> DataFrame:
@@ -77,11 +83,7 @@ def _rows(df: DataFrame, payload: Column, card: str, ts: str, order: str, amount
     )
 
 
-def _slice(at: Column, slice_seconds: int) -> Column:
-    return F.when(F.col("_hot"), F.floor(at / (slice_seconds * 1_000_000))).otherwise(F.lit(0)).cast("bigint")
-
-
-def _walk(moves: DataFrame, windows: dict[str, int], scope, slice_seconds: int) -> DataFrame:
+def _walk(moves: DataFrame, windows: dict[str, int], scope) -> DataFrame:
     """One arrival and one expiry per window for every transaction; only arrivals carry the row itself."""
     nothing = F.lit(None).cast(moves.schema["_payload"].dataType)
 
@@ -96,22 +98,28 @@ def _walk(moves: DataFrame, windows: dict[str, int], scope, slice_seconds: int)
     for i, seconds in enumerate(windows.values()):
         change = [minus if j == i else zero for j in range(len(windows))]
         steps.append(move(F.col("_us") + seconds * 1_000_000, EXPIRY, change, nothing))
-    walk = moves.select(*scope, "_card", "_order", "_hot", F.inline(F.array(*steps)))
-    return walk.withColumn("_slice", _slice(F.col("_at"), slice_seconds)).drop("_hot")
+    return moves.select(*scope, "_card", "_order", F.inline(F.array(*steps)))
 
 
-def _carry(walk: DataFrame, windows: dict[str, int], scope, slice_seconds: int) -> DataFrame:
-    """What is live when a slice begins: the running total of the slices before it (one row per slice)."""
-    before = W.partitionBy(*scope, "_card").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+def _sliced(walk: DataFrame, windows: dict[str, int], scope, slice_rows: int, cell_seconds: float) -> tuple[DataFrame, DataFrame]:
+    """The moves of hot cards with their slice, and a carry row per slice: what is live when it begins, the
+    running total of everything before it. A card's cells are ordered in one task, one narrow row a cell."""
+    unit = int(cell_seconds * 1_000_000)
     changes = [f"_live_{i}" for i in range(len(windows))]
-    totals = walk.groupBy(*scope, "_card", "_slice").agg(*[F.sum(c).alias(c) for c in changes])
-    return totals.select(
-        *scope, "_card", F.lit(None).cast(walk.schema["_order"].dataType).alias("_order"),
-        (F.col("_slice") * slice_seconds * 1_000_000).alias("_at"),
-        F.lit(CARRY).alias("_kind"),
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in changes],
-        "_slice",
-    )
+    celled = walk.withColumn("_cell", F.floor(F.col("_at") / unit))
+    before = W.partitionBy(*scope, "_card").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    counted = celled.groupBy(*scope, "_card", "_cell").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in changes])
+    cells = stored(counted.select(
+        *scope, "_card", "_cell", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / slice_rows).alias("_slice"),
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in changes]), "velocity-cells")
+    keys = [*scope, "_card", "_cell"]
+    place = cells.select(*[F.col(k).alias(f"_of{k}") for k in keys], "_slice")
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys])
+    sliced = celled.join(place, on).drop("_cell", *[f"_of{k}" for k in keys])
+    carried = cells.groupBy(*scope, "_card", "_slice").agg(F.min("_cell").alias("_first"), *[F.min_by(c, "_cell").alias(c) for c in changes]).select(
+        *scope, "_card", F.lit(None).cast(walk.schema["_order"].dataType).alias("_order"), (F.col("_first") * unit).alias("_at"), F.lit(CARRY).alias("_kind"),
+        *changes, "_slice")
+    return sliced, carried
 
 
 def velocity_violations(df: DataFrame, cutoff: Column, **kw) -> DataFrame:

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskspark.operators import velocity
 from riskspark.operators.velocity import card_velocity, velocity_violations
 
 START = dt.datetime(2024, 1, 1)
@@ -54,7 +55,20 @@ def test_random_rows_against_definition(spark, seed):
     df, want = frame(spark, rows), brute(rows)
     assert counts(card_velocity(df)) == want
     assert counts(card_velocity(df, hot_rows=50)) == want  # card 1 runs in slices
-    assert counts(card_velocity(df, hot_rows=10, slice_seconds=7 * 3600)) == want
+    assert counts(card_velocity(df, hot_rows=10, slice_rows=7)) == want
+    assert counts(card_velocity(df, hot_rows=10, slice_rows=40, cell_seconds=500)) == want
+
+
+def test_a_burst_spreads_over_many_slices(spark):
+    """One card, all rows within an hour: slices hold a bounded number of moves, results stay."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(0, 3600), 1, 1.0) for _ in range(600)] + [(5000, None, 1.0), (5001, None, 1.0)]
+    df = frame(spark, rows)
+    moves = velocity._walk(velocity._rows(df, F.struct("trans_num"), "cc_num", "trans_ts", "trans_num", "amt", ()), velocity.WINDOWS, ())
+    sliced, carried = velocity._sliced(moves, velocity.WINDOWS, (), slice_rows=50, cell_seconds=1)
+    sizes = [r["count"] for r in sliced.where("_card = 1").groupBy("_slice").count().collect()]
+    assert sum(sizes) == 1800 and len(sizes) > 30 and max(sizes) < 60 and carried.count() == len(sizes) + 1
+    assert counts(card_velocity(df, hot_rows=2, slice_rows=50)) == brute(rows)
 
 
 def test_agrees_with_pandas_rolling(spark, txns):
