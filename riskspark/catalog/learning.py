@@ -20,8 +20,6 @@ from riskspark.operators.metrics import comprehensive_metrics
 _PARTS = S.SPLIT + ", train AS (SELECT * FROM parts WHERE split = 'train')" + S.features("parts", "train", "split")
 _HELD = "(SELECT * FROM parts WHERE split = 'val')"
 TOLERANCE = 1e-6
-ROUNDS = 10  # boosting rounds in these checks; the library defaults are the full settings
-LINEAR_FEATURES = ("amt", "haversine_distance_km", "amt_to_user_avg_ratio", "hour")
 
 
 def _featured(spark, sf_dir):
@@ -104,19 +102,19 @@ def forest(spark, sf_dir):
 @query("ml05_histogram_boosting", _metrics_sql("HistGradientBoosting"))
 def histogram_boosting(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    return _metrics(supervised.fit_histogram_boosting(train, rounds=ROUNDS, depth=5), val)
+    return _metrics(supervised.fit_histogram_boosting(train), val)
 
 
 @query("ml06_boosted_trees", _metrics_sql("BoostedTrees"))
 def boosted(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    return _metrics(supervised.fit_boosted(train, {"n_estimators": ROUNDS, "max_depth": 5}), val)
+    return _metrics(supervised.fit_boosted(train, {}), val)
 
 
 @query("ml07_model_selection", "SELECT * FROM (VALUES ('RandomForest', 0, true), ('HistGradientBoosting', 1, true)) m(model, place, consistent)")
 def selection(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    models = [supervised.fit_forest(train, trees=20, depth=6), supervised.fit_histogram_boosting(train, rounds=ROUNDS, depth=4)]
+    models = [supervised.fit_forest(train), supervised.fit_histogram_boosting(train)]
     best, scores = supervised.select_model(models, val)
     rows = [r.asDict() for r in scores.collect()]  # one row per candidate
     first = min((-r["pr_auc"], r["place"]) for r in rows)[1]
@@ -130,18 +128,17 @@ _GRID = ", ".join(f"({i}, {p['max_depth']}, {p['learning_rate']!r}::DOUBLE, {p['
 @query("ml08_hyperparameter_search", f"SELECT *, true AS in_range FROM (VALUES {_GRID}) g(trial, max_depth, learning_rate, scale_pos_weight)")
 def hyperparameters(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    grid = [{**p, "n_estimators": ROUNDS // 2} for p in supervised.SEARCH_GRID]
-    best, history = supervised.search(train, val, grid)
+    best, history = supervised.search(train, val)
     ranges = [F.col(c).between(0.0, 1.0) for c in ("val_pr_auc", "val_roc_auc", "val_f1")]
     return history.select("trial", "max_depth", "learning_rate", "scale_pos_weight", (ranges[0] & ranges[1] & ranges[2] & (F.col("total_cost") >= 0)).alias("in_range"))
 
 
-@query("ml09_importance", "SELECT unnest([" + ", ".join(f"'{f}'" for f in LINEAR_FEATURES) + "]) AS feature, true AS shared_out")
+@query("ml09_importance", "SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) AS feature, true AS shared_out")
 def importance(spark, sf_dir):
     """Gain importance next to permutation importance."""
     train, val = _featured(spark, sf_dir)
-    model = supervised.fit_forest(train, trees=10, depth=5, features=LINEAR_FEATURES)
-    lost = supervised.permutation_importance(model, val, repeats=1).withColumnRenamed("importance", "pr_auc_loss")
+    model = supervised.fit_forest(train)
+    lost = supervised.permutation_importance(model, val).withColumnRenamed("importance", "pr_auc_loss")
     both = supervised.gain_importance(model, val).join(lost, "feature")
     whole = both.agg(F.sum("share_pct")).scalar()
     return both.select("feature", ((F.abs(whole - 100.0) < 0.1) & F.col("pr_auc_loss").between(-1.0, 1.0)).alias("shared_out"))
@@ -206,22 +203,22 @@ def contamination(spark, sf_dir):
     return out.select("contamination", ((F.col("flagged") >= below) & F.col("flagged_pct").between(0.0, 100.0)).alias("growing"))
 
 
-_LINEAR = ", ".join(f"avg({f}) OVER () AS m_{f}" for f in LINEAR_FEATURES)
+_LINEAR = ", ".join(f"avg({f}) OVER () AS m_{f}" for f in FEATURES)
 
 
 @query(
     "ml13_linear_attribution",
     f"WITH {S.TXN}{S.features()}, x AS (SELECT *, {_LINEAR} FROM feat) "
-    + " UNION ALL ".join(f"SELECT trans_num, '{f}' AS feature, {S.r(f'0.5::DOUBLE * ({f} - m_{f})', 4)} AS contribution FROM x" for f in LINEAR_FEATURES),
+    + " UNION ALL ".join(f"SELECT trans_num, '{f}' AS feature, {S.r(f'0.5::DOUBLE * ({f} - m_{f})', 4)} AS contribution FROM x" for f in FEATURES),
 )
 def linear_attribution(spark, sf_dir):
     """The closed form, with the feature means taken from the data."""
     from riskspark.catalog.views import features
 
-    df = features(spark, sf_dir, velocity=False)
-    means = df.agg(F.struct(*[F.avg(f).alias(f) for f in LINEAR_FEATURES])).scalar()
+    df = features(spark, sf_dir)
+    means = df.agg(F.struct(*[F.avg(f).alias(f) for f in FEATURES])).scalar()
     out = explain.linear_contributions(
-        df.withColumn("_m", means), {f: 0.5 for f in LINEAR_FEATURES}, {f: F.col(f"_m.{f}") for f in LINEAR_FEATURES}
+        df.withColumn("_m", means), {f: 0.5 for f in FEATURES}, {f: F.col(f"_m.{f}") for f in FEATURES}
     )
     rows = out.select("trans_num", F.inline("contributions"))
     return rows.select("trans_num", "feature", half_even(F.col("contribution"), 4).alias("contribution"))
@@ -229,7 +226,7 @@ def linear_attribution(spark, sf_dir):
 
 def _explained(spark, sf_dir):
     train, val = _featured(spark, sf_dir)
-    model = supervised.fit_boosted(train, {"n_estimators": ROUNDS, "max_depth": 4})
+    model = supervised.fit_boosted(train, {})
     return attribution.explain(model, model.with_probability(val))
 
 

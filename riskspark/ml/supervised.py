@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,8 +20,10 @@ from riskspark.functions.numeric import half_even
 from riskspark.operators.curves import curve_areas
 from riskspark.operators.metrics import metrics_at
 from riskspark.operators.split import hash_order
+from riskspark.session import stored
 
 WEIGHT = "_weight"
+PARALLEL_FITS = 3
 POSITIVE_WEIGHT = 61.61  # fixed value: legitimate rows per fraud
 
 # The boosted-tree settings tried by the search.
@@ -144,7 +147,8 @@ def search(
 ) -> tuple[FraudModel, DataFrame]:
     """Fit every setting on the (kept) training frame, compare on the held-out frame; first wins a tie."""
     kept = train.persist()
-    models = [fit(kept, params) for params in grid]
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:  # fits of one frame share its blocks and fill each other's waits
+        models = list(pool.map(lambda params: fit(kept, params), grid))
     rows = []
     for trial, (params, model) in enumerate(zip(grid, models), 1):
         scored = model.with_probability(held)
@@ -173,22 +177,24 @@ def gain_importance(model: FraudModel, df: DataFrame) -> DataFrame:
                         half_even(F.col("importance") / total * 100.0, 2).alias("share_pct"))
 
 
-def permutation_importance(model: FraudModel, df: DataFrame, repeats: int = 5, key: str = "trans_num", seed: int = SPLIT_SEED) -> DataFrame:
-    """Loss of PR-AUC when one feature is reassigned between rows.
+def permutation_importance(model: FraudModel, df: DataFrame, repeats: int = 5, key: str = "trans_num", seed: int = SPLIT_SEED, label: str = "is_fraud") -> DataFrame:
+    """Loss of PR-AUC when one feature is reassigned between rows, averaged over ``repeats``.
 
-    The reassignment pairs the n-th row by one hash order with the n-th row by
-    another, via a distributed sort and zip of positions, so every value is used once.
+    A repeat pairs the n-th row by one hash order with the n-th row by another, by a distributed sort and
+    zip of positions, so every value is used once. The donor brings all its features; a row becomes one
+    variant per feature, and the areas of all variants of all repeats come from one pass.
     """
-    base = curve_areas(model.with_probability(df), F.col("p_ml"), digits=None).first()["pr_auc"]
+    placed = stored(_with_positions(df.select(key, label, *model.features), hash_order(key, seed), "_at"), "placed")
+    whole = curve_areas(model.with_probability(placed), F.col("p_ml"), label, digits=None).select("pr_auc").scalar()
+    variants = F.array(*[
+        F.struct(F.lit(f).alias("feature"), *[(F.col(f"_new.{g}") if g == f else F.col(g)).alias(g) for g in model.features]) for f in model.features])
     rows = []
     for repeat in range(repeats):
-        placed = _with_positions(df, hash_order(key, seed), "_at")
-        for f in model.features:
-            donor = _with_positions(df.select(key, f), hash_order(key, seed + 1 + repeat), "_at").select("_at", F.col(f).alias("_new"))
-            shuffled = placed.join(donor, "_at").withColumn(f, F.col("_new")).drop("_at", "_new")
-            area = curve_areas(model.with_probability(shuffled), F.col("p_ml"), digits=None)
-            rows.append(area.select(F.lit(f).alias("feature"), (F.lit(base) - F.col("pr_auc")).alias("loss")))
-    return reduce(lambda a, b: a.unionByName(b), rows).groupBy("feature").agg(half_even(F.avg("loss"), 6).alias("importance"))
+        donor = _with_positions(placed.select(key, *model.features), hash_order(key, seed + 1 + repeat), "_at").select("_at", F.struct(*model.features).alias("_new"))
+        rows.append(placed.join(donor, "_at").select(label, F.lit(repeat).alias("repeat"), F.inline(variants)))
+    scored = model.with_probability(reduce(lambda a, b: a.unionByName(b), rows)).select("repeat", "feature", label, "p_ml")
+    each = curve_areas(stored(scored, "variants"), F.col("p_ml"), label, by=("repeat", "feature"), digits=None)
+    return each.groupBy("feature").agg(F.avg("pr_auc").alias("_left")).select("feature", half_even(whole - F.col("_left"), 6).alias("importance"))
 
 
 def _with_positions(df: DataFrame, order: Column, name: str) -> DataFrame:
