@@ -1,23 +1,29 @@
 """Toxicity scores from class-conditional Kneser-Ney models.
 
 Two word models, toxic and ordinary, learn from labelled documents outside the held-out fold (remainder
-``HELD_OUT`` of crc32(id) mod 4). Of a class c:
-* a word after a word: discounted document counts of the pair, backing off to
-* a word: discounted continuation counts (different words before it), backing off to
+``HELD_OUT`` of crc32(id) mod 4). Of a class c, with discount D and kinds for the different words seen:
+* a word w after a word v: (n_c(v, w) - D)+ / n_c(v) + D * kinds_c(v) / n_c(v) * P_c(w), P_c(w) where v is new;
+* a word: (different words before w - D)+ / all pairs + D * kinds_c / all pairs * P(w);
 * the corpus: document frequencies over all documents, shared by both classes.
+Every word and pair of the learning documents is in the recursion, however rare, and a pair that is not there gets
+the context's backoff mass, not the word's likelihood alone. Counts are documents, so a repeated line counts once.
+
 A document's score compares the log-likelihoods of both models, divided by length: of the whole text, and
 of its ``top`` most telling words, so an insult in a long text counts as in a short one. What single words
-exceed ``MARGIN`` by is summed up, too. A logistic curve over these and the log length gives 0 to 1; it
-is fitted on labelled documents that the counts have not seen (remainder ``CALIBRATE``).
+exceed ``MARGIN`` by is summed up, too. The same is taken once more of the words alone and of pairs that rest on
+``SUPPORT`` different contexts or documents (copies of one text make rare pairs look certain), so the curve
+learns how far rare expressions can be trusted. A logistic curve over these and the log length gives 0 to
+1; it is fitted on labelled documents that the counts have not seen (remainder ``CALIBRATE``).
 
-Bounds: at most about ``max_labelled`` labelled documents, the least by hash of the id, for the
-classifier; pairs and words need ``min_support`` different documents or contexts, so the model has at
-most tokens of the sample / min_support entries and is broadcast. Corpus frequencies read every document.
-Labels, language, source and id are never inputs of a score.
+Bounds: at most about ``max_labelled`` labelled documents of ``max_words`` words together, the least by hash of the
+id, for the classifier. The models are sorted arrays of 64-bit hashes, at most 16 bytes a pair and 40 a word of
+that sample, and broadcast. Corpus frequencies are a table over every word of every document; those of the sample's
+words are joined to it by Spark. Labels, language, source and id are never inputs of a score.
 
 Null and empty texts have length 0 and get the score of no evidence. A null id belongs to no label and
 remainder 0. Labels that differ on an id count as toxic if one is. Without labels of both classes every
-score is 0. Repeated rows get equal scores.
+score is 0. Repeated rows get equal scores. Very long texts are scored whole, in one task each. Empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -26,10 +32,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +46,10 @@ WORDS = re.compile(r"\w+")
 HELD_OUT, CALIBRATE = 2, 3
 DISCOUNT = 0.75
 MARGIN = 1.5
-FEATURES = 4
+SUPPORT = 5
+FEATURES = 7
+BYTES_A_WORD = 4
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -50,14 +60,18 @@ def remainder(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4, F.lit(0))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_labelled: int) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_labelled: int, max_words: int) -> DataFrame:
     """text, toxic, fold of a bounded sample of labelled documents that are not held out; no text is shuffled."""
     known = stored(
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col) != HELD_OUT))
         .groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic")), "toxicity-labels")
-    share = min(1.0, max_labelled / max(known.count(), 1))
-    sample = known.where((F.xxhash64("__id") / 2.0**64 + 0.5) <= share)  # about max_labelled rows: bounded
-    return docs.join(F.broadcast(sample), docs[id_col] == sample["__id"]).select(F.col(text_col).alias("text"), "toxic", remainder(id_col).alias("fold"))
+    place = F.xxhash64("__id") / 2.0**64 + 0.5
+    first = known.where(place <= min(1.0, max_labelled / max(known.count(), 1)))  # about max_labelled rows: bounded
+    texts = docs.select(F.col(f"`{id_col}`").alias("__doc"), F.col(f"`{text_col}`").alias("text"))
+    found = texts.join(F.broadcast(first), F.col("__doc") == F.col("__id"))
+    words = found.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # no fewer bytes than words
+    most = found.where(place <= min(1.0, max_labelled / max(known.count(), 1)) * min(1.0, max_words * BYTES_A_WORD / max(words, 1)))
+    return most.select("text", "toxic", remainder("__doc").alias("fold"))
 
 
 def pair_counts(sample: DataFrame, chunk: int = 200_000) -> DataFrame:
@@ -83,74 +97,122 @@ def pair_counts(sample: DataFrame, chunk: int = 200_000) -> DataFrame:
     return made.groupBy("toxic", "before", "word").agg(F.sum("n").alias("n"))
 
 
-def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[str]) -> tuple[dict[str, int], int]:
-    """Documents of the whole corpus that hold each word of a bounded vocabulary, and all such pairs."""
-    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
+def document_frequencies(docs: DataFrame, text_col: str, chunk: int = 200_000) -> DataFrame:
+    """word, n: documents of the whole corpus that hold it, for every word of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
-        every = 0
+
+        def emit() -> pa.RecordBatch:
+            cols = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+            found.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["word", "n"])
+
         for batch in batches:
             for text in batch.column(0):
-                own = set(words_of(text.as_py()))
-                every += len(own)
-                found.update(own & known.value)
-        found[""] = every
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+                found.update(set(words_of(text.as_py())))
+                if len(found) > chunk:  # bounded memory; Spark sums the chunks
+                    yield emit()
+        yield emit()
 
-    rows = docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # bounded by the vocabulary
-    counts = {r["word"]: r["n"] for r in rows}
-    return counts, counts.pop("", 0)
+    return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Models:
-    """Log-likelihood ratios, toxic over ordinary, of words and of supported pairs."""
+def codes_of(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxh64, words), np.uint64, len(words))
+
+
+def xxh64(word: str) -> int:
+    return xxhash.xxh64_intdigest(word, 42)  # as Spark hashes text
 
-    def __init__(self, words: dict[str, float], pairs: dict[tuple[str, str], float], top: int):
-        self.words, self.pairs, self.top = words, pairs, top
+
+def pair_codes(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return (before ^ (before >> np.uint64(31))) * MIX + words
+
+
+@dataclass
+class Models:
+    """Both models by sorted hash: per pair the discounted parts, per word its likelihoods, per context its backoff masses."""
+
+    pairs: np.ndarray      # codes
+    parts: np.ndarray      # pair, class
+    often: np.ndarray      # pair: in SUPPORT documents or more
+    usual: np.ndarray      # word: after SUPPORT different words or more
+    words: np.ndarray      # codes, the start of a text among them
+    likely: np.ndarray     # word, class
+    masses: np.ndarray     # word as context, class
+    new: np.ndarray        # class: a word outside the sample, but for the corpus frequency that cancels
+    top: int
+
+    def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratios, toxic over ordinary, of each word after the one before: of the full recursion, and of
+        what is well supported (the word alone where its pair is rare, 0 where the word is)."""
+        codes = codes_of(["", *words])
+        at, known = find(self.words, codes)
+        likely, masses = np.where(known[:, None], self.likely[at], self.new), np.where(known[:, None], self.masses[at], 1.0)
+        pair, held = find(self.pairs, pair_codes(codes[:-1], codes[1:]))
+        p = np.where(held[:, None], self.parts[pair], 0.0) + masses[:-1] * likely[1:]
+        full = np.log(p[:, 1] / p[:, 0])
+        alone = np.log(likely[1:, 1] / likely[1:, 0])
+        return full, np.where(known[1:] & self.usual[at[1:]], np.where(held & self.often[pair], full, alone), 0.0)
 
     def features(self, text: str | None) -> tuple[float, ...]:
         words = words_of(text)
         if not words:
             return (0.0,) * FEATURES
-        ratios = list(map(self.words.get, words, repeat(0.0)))
-        if self.pairs:
-            for i, pair in enumerate(zip(["", *words], words)):
-                if pair in self.pairs:
-                    ratios[i] = self.pairs[pair]
-        made = np.array(ratios)
-        best = np.sort(made)[::-1][: self.top]
-        return float(made.mean()), float(best.sum() / self.top), math.log1p(np.maximum(made - MARGIN, 0).sum()), math.log1p(len(words))
-
-
-def fitted(docs: DataFrame, sample: DataFrame, text_col: str, min_support: int, top: int) -> Models | None:
-    """The two Kneser-Ney models as ratios; None without both classes."""
+        out = []
+        for made in self.ratios(words):
+            best = np.sort(made)[::-1][: self.top]
+            out += [float(made.mean()), float(best.sum() / self.top), math.log1p(np.maximum(made - MARGIN, 0).sum())]
+        return (*out, math.log1p(len(words)))
+
+
+def find(known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return at, known[at] == codes
+
+
+def by_class(pairs: DataFrame, *keys: str) -> DataFrame:
+    """keys, n0, n1 (rows of either class summed), k0, k1 (its different pairs)."""
+    of = lambda t, x: F.coalesce(F.sum(F.when(F.col("toxic") == t, x)), F.lit(0))
+    return pairs.groupBy(*keys).agg(*[of(t, x).alias(f"{name}{t}") for t in (0, 1) for name, x in (("n", F.col("n")), ("k", F.lit(1)))])
+
+
+def discounted(n: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.maximum(n - DISCOUNT, 0) / whole
+
+
+def fitted(docs: DataFrame, sample: DataFrame, text_col: str, top: int) -> Models | None:
+    """The two Kneser-Ney models; None without both classes."""
     pairs = stored(pair_counts(sample.where(F.col("fold") != CALIBRATE)), "toxicity-pairs")
-    contexts = pairs.groupBy("toxic", "word").agg(F.count("*").alias("n"))
-    totals = {r["toxic"]: (r["n"], r["kinds"]) for r in contexts.groupBy("toxic").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
-    if not {0, 1} <= set(totals):
+    words = stored(by_class(pairs, "word"), "toxicity-words")
+    whole = words.agg(*[F.sum(f"k{t}").alias(f"k{t}") for t in (0, 1)], *[F.count_if(F.col(f"k{t}") > 0).alias(f"v{t}") for t in (0, 1)]).first()
+    if not whole["k0"] or not whole["k1"]:
         return None
-    by_class = contexts.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(f"n{t}") for t in (0, 1)])
-    words = {r["word"]: (r["n0"], r["n1"]) for r in by_class.where(F.col("n0") + F.col("n1") >= min_support).collect()}
-    shared, every = document_frequencies(docs, text_col, frozenset(words))
-    lower = {}
-    for w, ns in words.items():
-        base = (shared.get(w, 0) + 1) / (every + len(words) + 1)
-        lower[w] = tuple(max(n - DISCOUNT, 0) / totals[t][0] + DISCOUNT * totals[t][1] / totals[t][0] * base for t, n in enumerate(ns))
-    often = pairs.groupBy("before", "word").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(f"n{t}") for t in (0, 1)])
-    often = often.where(F.col("n0") + F.col("n1") >= min_support)
-    ahead = pairs.groupBy("before").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, x)), F.lit(0)).alias(f"{k}{t}") for t in (0, 1) for k, x in (("all", F.col("n")), ("kinds", F.lit(1)))])
-    upper = {}
-    for r in often.join(ahead, "before").collect():
-        if r["word"] not in lower:
-            continue
-        p = []
-        for t in (0, 1):
-            n, every_t, kinds = r[f"n{t}"], r[f"all{t}"], r[f"kinds{t}"]
-            back = lower[r["word"]][t]
-            p.append(max(n - DISCOUNT, 0) / every_t + DISCOUNT * kinds / every_t * back if every_t else back)
-        upper[r["before"], r["word"]] = math.log(p[1] / p[0])
-    return Models({w: math.log(p[1] / p[0]) for w, p in lower.items()}, upper, top)
+    shared = stored(document_frequencies(docs, text_col), "toxicity-frequencies")
+    every = shared.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    ahead = by_class(pairs, "before").select("before", *[F.col(c).alias(f"a_{c}") for c in ("n0", "n1", "k0", "k1")])
+    table = words.join(shared.withColumnRenamed("n", "df"), "word", "left").join(ahead, F.col("word") == F.col("before"), "full")
+    counted = table.select(F.xxhash64(F.coalesce("word", "before")).alias("code"), *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("df", "k0", "k1", "a_n0", "a_n1", "a_k0", "a_k1")])
+    frame = counted.toPandas().sort_values("code", key=lambda c: c.to_numpy(np.int64).view(np.uint64))  # bounded by the words of the sample
+    codes = frame["code"].to_numpy(np.int64).view(np.uint64)
+    total, vocabulary = (np.array([whole[f"{x}{t}"] for t in (0, 1)], float) for x in ("k", "v"))
+    backoff = DISCOUNT * vocabulary / total
+    base = (frame["df"].to_numpy() + 1) / (every["n"] + every["v"] + 1)
+    likely = discounted(frame[["k0", "k1"]].to_numpy(), total) + backoff * base[:, None]
+    following, kinds = frame[["a_n0", "a_n1"]].to_numpy(), frame[["a_k0", "a_k1"]].to_numpy()
+    masses = np.where(following > 0, DISCOUNT * kinds / np.maximum(following, 1), 1.0)
+
+    gathered = by_class(pairs, "before", "word").select(
+        F.xxhash64("before").alias("v"), F.xxhash64("word").alias("w"), F.col("n0").cast("int"), F.col("n1").cast("int")).toArrow()  # bounded by the sample
+    v, w = (gathered[c].to_numpy().view(np.uint64) for c in ("v", "w"))
+    n = np.column_stack([gathered["n0"].to_numpy(), gathered["n1"].to_numpy()])
+    del gathered
+    parts = discounted(n, np.maximum(following[find(codes, v)[0]], 1)).astype(np.float32)
+    pair = pair_codes(v, w)
+    order = np.argsort(pair)
+    return Models(
+        pair[order], parts[order], (n.sum(axis=1) >= SUPPORT)[order], frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses,
+        backoff / backoff.sum(), top)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,11 +232,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-           max_labelled: int = 20_000, min_support: int = 5, top: int = 3, threshold: float = 0.3) -> DataFrame:
+           max_labelled: int = 20_000, max_words: int = 20_000_000, top: int = 3, threshold: float = 0.3) -> DataFrame:
     """Every column of ``docs``, then held_out, score, predicted, whole_ratio and top_ratio."""
     context = docs.sparkSession.sparkContext
-    sample = stored(labelled(docs, labels, id_col, text_col, label_col, max_labelled), "toxicity-sample")
-    models = fitted(docs, sample, text_col, min_support, top)
+    sample = stored(labelled(docs, labels, id_col, text_col, label_col, max_labelled, max_words), "toxicity-sample")
+    models = fitted(docs, sample, text_col, top)
     curve = None
     if models:
         shared = context.broadcast(models)
@@ -183,7 +245,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             return [*map(list, zip(*map(shared.value.features, texts))), toxic] if texts else [[]] * (FEATURES + 1)
 
         fit = sample.where(F.col("fold") == CALIBRATE).select("text", "toxic")
-        rows = np.array(map_batches(fit, features, "a double, b double, c double, d double, toxic double").collect(), float)  # bounded by max_labelled
+        rows = np.array(map_batches(fit, features, ", ".join(f"f{i} double" for i in range(FEATURES)) + ", toxic double").collect(), float)  # bounded by max_labelled
         rows = rows.reshape(-1, FEATURES + 1)
         if len(set(rows[:, -1])) == 2:
             curve = logistic(rows[:, :-1], rows[:, -1])

@@ -180,6 +180,53 @@ def test_toxicity_edges(spark, edge, empty):
     assert {r["score"] for r in none.collect()} == {0.0}
 
 
+def test_toxicity_recursion_brute(spark):
+    """Every word and pair, seen or new, against the recursion written out with dictionaries."""
+    import math
+
+    rng = random.Random(8)
+    made = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 12))), int(rng.random() < 0.4)) for i in range(60)]
+    made += [(60, "only here", 1), (61, "", 0), (62, None, 1)]
+    d = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    models = toxicity.fitted(d, d.select("text", "toxic", F.lit(0).alias("fold")), "text", 3)
+    seen = [{}, {}]
+    df: dict = {}
+    for _, t, c in made:
+        w = (t or "").split()
+        for pair in set(zip(["", *w], w)):
+            seen[c][pair] = seen[c].get(pair, 0) + 1
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
+
+    def likely(c, w):
+        kinds = len({y for _, y in seen[c]})
+        base = (df.get(w, 0) + 1) / (sum(df.values()) + len(df) + 1)
+        return max(sum(y == w for _, y in seen[c]) - 0.75, 0) / len(seen[c]) + 0.75 * kinds / len(seen[c]) * base
+
+    def after(c, v, w):
+        whole, kinds = sum(n for (x, _), n in seen[c].items() if x == v), sum(x == v for x, _ in seen[c])
+        return max(seen[c].get((v, w), 0) - 0.75, 0) / whole + 0.75 * kinds / whole * likely(c, w) if whole else likely(c, w)
+
+    words = "a b c a only here new h g new only f e d c b a".split()
+    want = [math.log(after(1, v, w) / after(0, v, w)) for v, w in zip(["", *words], words)]
+    assert models.ratios(words)[0].tolist() == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
+def test_toxicity_rare_expressions_count(spark):
+    """A fixed two-word insult, always after each other, in all toxic texts and in no other."""
+    rng = random.Random(9)
+    made = []
+    for i in range(1200):
+        words = [f"w{rng.randrange(300)}" for _ in range(30)]
+        if i % 10 == 0:
+            words[12:12] = ["foul", "beast"]
+        made.append((i, " ".join(words), int(i % 10 == 0)))
+    d = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    got = toxicity.scored(d.select("doc_id", "text"), d.select("doc_id", "toxic")).join(d.select("doc_id", "toxic"), "doc_id").collect()
+    held = [r for r in got if r["held_out"]]
+    assert all(r["score"] >= 0.3 for r in held if r["toxic"]) and sum(r["score"] >= 0.3 for r in held if not r["toxic"]) <= 3
+
+
 def test_logistic_separates():
     import numpy as np
 
