@@ -1,19 +1,24 @@
 """Quality rules by distribution divergence.
 
 A document's histograms of character classes and of its language's common words are compared to
-references by Jensen-Shannon distance (base 2, 0 to 1). References are summed over all documents of a
-language. Common words are those with at least ``common_share`` of the language's words, so there are
-at most 1 / common_share of them; languages are those with at least ``language_share`` of the
-documents, so references are few whatever the table's size.
+references by the Jensen-Shannon measure (base 2, 0 to 1; the square of the distance of that name).
+References are summed over all documents of a language. Common words are those with at least
+``common_share`` of the language's words, so there are at most 1 / common_share of them. A language has
+a reference from ``min_reference_words`` words on, whatever else the table holds; the ``max_references``
+languages of most words are kept, a bound on what is broadcast.
 
-A document fails when a distance to its own language and to every other reference is over the bound;
+The word measure cannot exceed what a text without any common word has, which depends on how much of the
+language they make up. So its bound is a share of that ceiling (``max_word_share``), each language's own.
+
+A document fails when a measure to its own language and to every other reference is over the bound;
 a wrong language label alone does not reject it. Guards: words are judged from ``min_words`` letter
 words on, characters from ``min_chars`` characters on. Before that, fixed rules reject texts of fewer
 than 50 words or with over half of the words in repeated 3-word windows.
 
-Nulls and empty texts have no words and fail the fixed rules. A null or rare language is judged by the
-closest reference; without any reference the divergence keeps the document. Repeated rows get equal
-results and count as often as they occur. An empty table gives an empty result.
+Nulls and empty texts have no words and fail the fixed rules. The divergence keeps documents of a language
+without a reference; those without a language are judged by the closest reference, if there is any.
+Very long texts are judged whole, in one task each. Repeated rows get equal results and count as often
+as they occur. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import stored, with_results
+from riskspark.llm.common import stored, unused, with_results
 
 LETTERS = re.compile(r"[^\W\d_]+")
 CLASSES = ("lower", "upper", "digit", "space", "point", "other_letter", "symbol")
@@ -45,11 +50,12 @@ class Rules:
     min_total_words: int = 50
     max_repeat_percent: int = 50
     max_js_chars: float = 0.10
-    max_js_words: float = 0.14
+    max_word_share: float = 0.75
     min_chars: int = 200
     min_words: int = 50
     common_share: float = 0.005
-    language_share: float = 0.001
+    min_reference_words: int = 2_000
+    max_references: int = 500
 
 
 def class_counts(text: str, raw: bytes) -> list[int]:
@@ -115,13 +121,17 @@ class Reference:
     common: tuple[str, ...]
     words: np.ndarray  # the common words' counts, then all others
 
+    @property
+    def ceiling(self) -> float:
+        """The word measure of a text without any common word."""
+        return divergence(np.array([0.0] * len(self.common) + [1.0]), self.words)
+
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> dict[str, Reference]:
-    """At most 1 / language_share languages of at most 1 / common_share words each."""
+    """At most ``max_references`` languages of at most 1 / common_share words each."""
     counts = stored(reference_counts(docs, text_col, lang_col), "quality-counts")
     totals = counts.where("kind <> 'word' and lang <> ''").groupBy("lang").pivot("kind", ["docs", "words", *CLASSES]).agg(F.sum("n")).na.fill(0)
-    n_docs = counts.where("kind = 'docs'").agg(F.sum("n")).first()[0] or 0
-    large = totals.where(F.col("docs") >= F.lit(rules.language_share * n_docs))
+    large = totals.where(F.col("words") >= rules.min_reference_words).orderBy(F.desc("words"), "lang").limit(rules.max_references)
     common = (
         counts.where("kind = 'word'").join(F.broadcast(large.select("lang", F.col("words").alias("total"))), "lang")
         .where(F.col("n") >= F.lit(rules.common_share) * F.col("total")).select("lang", "item", "n")
@@ -163,28 +173,30 @@ def base_rules(text: str | None, rules: Rules) -> tuple[int, int, int, int, int,
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> DataFrame:
     """Every document with its base figures, distances to the reference it is closest to, and verdict."""
-    known = docs.sparkSession.sparkContext.broadcast(references(docs, text_col, lang_col, rules))
+    made = references(docs, text_col, lang_col, rules)
+    known = docs.sparkSession.sparkContext.broadcast({lang: (ref, rules.max_word_share * ref.ceiling) for lang, ref in made.items()})
 
     def row(x: dict) -> tuple:
         text, base = x["t"], base_rules(x["t"], rules)
-        if base[-1] or not known.value:
+        own = known.value.get(x["l"] or "")
+        if base[-1] or not known.value or (x["l"] and own is None):
             return (*base, None, None, not base[-1])
         chars, words = np.array(class_counts(text, text.encode()), float), letter_words(text)
         found = Counter(words)
-        own = known.value.get(x["l"])
         best = None
-        for ref in [own] * (own is not None) + [r for r in known.value.values() if r is not own]:
+        for ref, bound in [own] * (own is not None) + [r for r in known.value.values() if r is not own]:
             listed = [found.get(w, 0) for w in ref.common]
             js = (divergence(chars, ref.chars) if len(text) >= rules.min_chars else 0.0,
                   divergence(np.array([*listed, len(words) - sum(listed)], float), ref.words) if len(words) >= rules.min_words else 0.0)
-            excess = max(js[0] / rules.max_js_chars, js[1] / rules.max_js_words)
+            excess = max(js[0] / rules.max_js_chars, js[1] / bound if bound else 0.0)
             if best is None or excess < best[0]:
                 best = (excess, js)
             if best[0] <= 1:
                 break
         return (*base, *best[1], best[0] <= 1)
 
-    return with_results(docs.withColumn("__in", F.struct(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))), "__in", row, FIELDS).drop("__in")
+    given = unused(docs, "__in")
+    return with_results(docs.withColumn(given, F.struct(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))), given, row, FIELDS).drop(given)
 
 
 def filtered(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> DataFrame:

@@ -143,10 +143,12 @@ base AS (
 full_base AS (SELECT *, length(t) - c_all AS c_symbol, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
 langs AS (
   SELECT lang AS ref, sum(len(lw)) AS n_lw, {", ".join(f"sum(c_{c}) AS c_{c}" for c in CLASS_NAMES)}, sum(length(t)) AS n_chars
-  FROM full_base WHERE lang <> '' GROUP BY lang HAVING count(*) >= 0.001 * (SELECT count(*) FROM docs)),
+  FROM full_base WHERE lang <> '' GROUP BY lang HAVING sum(len(lw)) >= 2000),
 lang_words AS (SELECT lang AS ref, x AS item, count(*) AS n FROM (SELECT lang, unnest(lw) AS x FROM full_base) GROUP BY ALL),
 common AS (SELECT ref, item, n / n_lw AS q FROM lang_words JOIN langs USING (ref) WHERE n >= 0.005 * n_lw),
 tested AS (SELECT * FROM full_base WHERE NOT base_failed),
+mass AS (SELECT ref, sum(q) AS m FROM common GROUP BY ref),
+ceilings AS (SELECT ref, 0.75 * (m + log2(2 / (2 - m)) + (1 - m) * log2(2 * (1 - m) / (2 - m))) / 2 AS bound FROM mass),
 doc_words AS (SELECT doc_id, x AS item, count(*) AS n FROM (SELECT doc_id, unnest(lw) AS x FROM tested) GROUP BY ALL),
 listed AS (
   SELECT t.doc_id, c.ref, c.q, coalesce(d.n, 0) / nullif(len(t.lw), 0) AS p
@@ -158,8 +160,9 @@ chars AS (
   FROM tested t CROSS JOIN langs l),
 js_chars AS (SELECT doc_id, ref, {JS} AS js FROM chars GROUP BY doc_id, ref),
 verdict AS (
-  SELECT t.doc_id, bool_or((length(t.t) < 200 OR c.js <= 0.10) AND (len(t.lw) < 50 OR coalesce(w.js, 0) <= 0.14)) AS kept
-  FROM tested t JOIN js_chars c ON t.doc_id = c.doc_id LEFT JOIN js_words w ON w.doc_id = t.doc_id AND w.ref = c.ref GROUP BY t.doc_id)
+  SELECT t.doc_id, bool_or((length(t.t) < 200 OR c.js <= 0.10) AND (len(t.lw) < 50 OR coalesce(w.js, 0) <= coalesce(b.bound, 1))) AS kept
+  FROM tested t JOIN js_chars c ON t.doc_id = c.doc_id LEFT JOIN js_words w ON w.doc_id = t.doc_id AND w.ref = c.ref LEFT JOIN ceilings b ON b.ref = c.ref
+  WHERE t.lang = '' OR t.lang IN (SELECT ref FROM langs) GROUP BY t.doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(kept, true) AS kept
 FROM full_base b LEFT JOIN verdict v ON b.doc_id = v.doc_id
 """

@@ -8,6 +8,7 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -382,6 +383,25 @@ def test_quality_keeps_clean_and_rejects_junk(spark, docs):
     assert all(got[i][0] for i, q in labels.items() if q == 1 and i in long_enough)
 
 
+def test_quality_verdicts_do_not_depend_on_other_languages(spark, docs):
+    """A language keeps its reference, and its documents their verdicts, however much else the table holds."""
+    small = docs.where("lang = 'en'")
+    more = docs.where("lang <> 'en'")
+    many = more.selectExpr("doc_id + 1000000 as doc_id", "text", "lang", "source", "n_chars")
+    alone, among = (by_id(quality.judged(d).where("lang = 'en'"), "kept", "js_chars") for d in (small, small.union(more).union(many)))
+    assert {i for i, (k, _) in alone.items() if k} <= {i for i, (k, _) in among.items() if k}  # another reference can only save a text
+    few = spark.createDataFrame([(i, passage(i, 60).replace("e", "ж"), "xx", "a", 0) for i in range(5)], SCHEMA)
+    assert all(k for k, in by_id(quality.judged(docs.union(few)).where("lang = 'xx'"), "kept").values())  # too little text for a reference
+
+
+def test_quality_ceiling():
+    import math
+
+    ref = quality.Reference(np.ones(7), ("a", "b"), np.array([20.0, 10.0, 70.0]))
+    m = 0.3
+    assert ref.ceiling == pytest.approx((m + math.log2(2 / (2 - m)) + (1 - m) * math.log2(2 * (1 - m) / (2 - m))) / 2)
+
+
 def test_quality_edges(edge, empty):
     got = quality.judged(edge.withColumn("kept", F.lit(3)))
     assert got.count() == len(EDGE)
