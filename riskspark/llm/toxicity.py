@@ -75,26 +75,28 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 
 def pair_counts(sample: DataFrame, chunk: int = 200_000) -> DataFrame:
-    """toxic, before, word, n: documents of a class that hold a word after another."""
+    """before, word, n0, n1: documents of either class that hold a word after another."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: tuple[Counter, Counter] = (Counter(), Counter())
 
         def emit() -> pa.RecordBatch:
-            toxic, before, word = zip(*found) if found else ((), (), ())
-            cols = [pa.array(toxic, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(list(found.values()), pa.int64())]
-            found.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["toxic", "before", "word", "n"])
+            keys = list(found[0] | found[1])
+            before, word = zip(*keys) if keys else ((), ())
+            cols = [pa.array(before, pa.string()), pa.array(word, pa.string()), *[pa.array([f[k] for k in keys], pa.int32()) for f in found]]
+            found[0].clear()
+            found[1].clear()
+            return pa.RecordBatch.from_arrays(cols, names=["before", "word", "n0", "n1"])
 
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = words_of(text.as_py())
-                found.update((toxic, v, w) for v, w in set(zip(["", *words], words)))
-                if len(found) > chunk:  # bounded memory; Spark sums the chunks
+                found[toxic].update(set(zip(["", *words], words)))
+                if len(found[0]) + len(found[1]) > chunk:  # bounded memory; Spark sums the chunks
                     yield emit()
         yield emit()
 
-    made = sample.select("text", "toxic").mapInArrow(run, "toxic int, before string, word string, n long")
-    return made.groupBy("toxic", "before", "word").agg(F.sum("n").alias("n"))
+    made = sample.select("text", "toxic").mapInArrow(run, "before string, word string, n0 int, n1 int")
+    return made.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1"))
 
 
 def document_frequencies(docs: DataFrame, text_col: str, chunk: int = 200_000) -> DataFrame:
@@ -171,10 +173,9 @@ def find(known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, known[at] == codes
 
 
-def by_class(pairs: DataFrame, *keys: str) -> DataFrame:
-    """keys, n0, n1 (rows of either class summed), k0, k1 (its different pairs)."""
-    of = lambda t, x: F.coalesce(F.sum(F.when(F.col("toxic") == t, x)), F.lit(0))
-    return pairs.groupBy(*keys).agg(*[of(t, x).alias(f"{name}{t}") for t in (0, 1) for name, x in (("n", F.col("n")), ("k", F.lit(1)))])
+def by_class(pairs: DataFrame, key: str) -> DataFrame:
+    """key, n0, n1 (documents of its pairs summed by class), k0, k1 (its different pairs)."""
+    return pairs.groupBy(key).agg(*[F.sum(f"n{t}").alias(f"n{t}") for t in (0, 1)], *[F.count_if(F.col(f"n{t}") > 0).alias(f"k{t}") for t in (0, 1)])
 
 
 def discounted(n: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -202,8 +203,7 @@ def fitted(docs: DataFrame, sample: DataFrame, text_col: str, top: int) -> Model
     following, kinds = frame[["a_n0", "a_n1"]].to_numpy(), frame[["a_k0", "a_k1"]].to_numpy()
     masses = np.where(following > 0, DISCOUNT * kinds / np.maximum(following, 1), 1.0)
 
-    gathered = by_class(pairs, "before", "word").select(
-        F.xxhash64("before").alias("v"), F.xxhash64("word").alias("w"), F.col("n0").cast("int"), F.col("n1").cast("int")).toArrow()  # bounded by the sample
+    gathered = pairs.select(F.xxhash64("before").alias("v"), F.xxhash64("word").alias("w"), "n0", "n1").toArrow()  # bounded by the sample
     v, w = (gathered[c].to_numpy().view(np.uint64) for c in ("v", "w"))
     n = np.column_stack([gathered["n0"].to_numpy(), gathered["n1"].to_numpy()])
     del gathered
