@@ -16,8 +16,8 @@ learns how far rare expressions can be trusted. A logistic curve over these and
 1; it is fitted on labelled documents that the counts have not seen (remainder ``CALIBRATE``).
 
 Bounds: at most about ``max_labelled`` labelled documents of ``max_words`` words together, the least by hash of the
-id, for the classifier. The models are sorted arrays of 64-bit hashes, at most 16 bytes a pair and 40 a word of
-that sample, and broadcast. Corpus frequencies are a table over every word of every document; those of the sample's
+id, for the classifier. The models are sorted arrays of 64-bit hashes, 12 bytes a pair and some 40 a word of
+that sample, and broadcast once. Corpus frequencies are a table over every word of every document; those of the sample's
 words are joined to it by Spark. Labels, language, source and id are never inputs of a score.
 
 Null and empty texts have length 0 and get the score of no evidence. A null id belongs to no label and
@@ -136,8 +136,8 @@ class Models:
     """Both models by sorted hash: per pair the discounted parts, per word its likelihoods, per context its backoff masses."""
 
     pairs: np.ndarray      # codes
-    parts: np.ndarray      # pair, class
-    often: np.ndarray      # pair: in SUPPORT documents or more
+    counts: np.ndarray     # pair, class: documents
+    following: np.ndarray  # word as context, class: documents of its pairs
     usual: np.ndarray      # word: after SUPPORT different words or more
     words: np.ndarray      # codes, the start of a text among them
     likely: np.ndarray     # word, class
@@ -152,10 +152,11 @@ class Models:
         at, known = find(self.words, codes)
         likely, masses = np.where(known[:, None], self.likely[at], self.new), np.where(known[:, None], self.masses[at], 1.0)
         pair, held = find(self.pairs, pair_codes(codes[:-1], codes[1:]))
-        p = np.where(held[:, None], self.parts[pair], 0.0) + masses[:-1] * likely[1:]
+        counts = np.where(held[:, None], self.counts[pair], 0)
+        p = discounted(counts, np.maximum(self.following[at[:-1]], 1)) + masses[:-1] * likely[1:]  # a held pair's context is known
         full = np.log(p[:, 1] / p[:, 0])
         alone = np.log(likely[1:, 1] / likely[1:, 0])
-        return full, np.where(known[1:] & self.usual[at[1:]], np.where(held & self.often[pair], full, alone), 0.0)
+        return full, np.where(known[1:] & self.usual[at[1:]], np.where(counts.sum(axis=1) >= SUPPORT, full, alone), 0.0)
 
     def features(self, text: str | None) -> tuple[float, ...]:
         words = words_of(text)
@@ -205,13 +206,12 @@ def fitted(docs: DataFrame, sample: DataFrame, text_col: str, top: int) -> Model
 
     gathered = pairs.select(F.xxhash64("before").alias("v"), F.xxhash64("word").alias("w"), "n0", "n1").toArrow()  # bounded by the sample
     v, w = (gathered[c].to_numpy().view(np.uint64) for c in ("v", "w"))
-    n = np.column_stack([gathered["n0"].to_numpy(), gathered["n1"].to_numpy()])
+    n = np.column_stack([gathered[c].to_numpy().astype(np.uint16) for c in ("n0", "n1")])  # no more than max_labelled
     del gathered
-    parts = discounted(n, np.maximum(following[find(codes, v)[0]], 1)).astype(np.float32)
     pair = pair_codes(v, w)
     order = np.argsort(pair)
     return Models(
-        pair[order], parts[order], (n.sum(axis=1) >= SUPPORT)[order], frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses,
+        pair[order], n[order], following.astype(np.float32), frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses.astype(np.float32),
         backoff / backoff.sum(), top)
 
 
@@ -237,9 +237,8 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     context = docs.sparkSession.sparkContext
     sample = stored(labelled(docs, labels, id_col, text_col, label_col, max_labelled, max_words), "toxicity-sample")
     models = fitted(docs, sample, text_col, top)
-    curve = None
+    curve, shared = None, context.broadcast(models)
     if models:
-        shared = context.broadcast(models)
 
         def features(texts: list, toxic: list) -> list:
             return [*map(list, zip(*map(shared.value.features, texts))), toxic] if texts else [[]] * (FEATURES + 1)
@@ -249,13 +248,11 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rows = rows.reshape(-1, FEATURES + 1)
         if len(set(rows[:, -1])) == 2:
             curve = logistic(rows[:, :-1], rows[:, -1])
-    known = context.broadcast((models, curve))
 
     def row(text: str | None) -> tuple:
-        models, curve = known.value
         if curve is None:
             return 0.0, 0, 0.0, 0.0
-        x = np.array(models.features(text))
+        x = np.array(shared.value.features(text))
         mean, scale, w = curve
         score = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(((x - mean) / scale) @ w[:-1] + w[-1])))))
         return score, int(score >= threshold), float(x[0]), float(x[1])
