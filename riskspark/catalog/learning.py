@@ -15,6 +15,7 @@ from riskspark.ml import attribution, iforest, supervised
 from riskspark.operators import explain
 from riskspark.operators.features import Baselines, add_features
 from riskspark.operators.metrics import comprehensive_metrics
+from riskspark.session import stored
 
 # Held-out rows and the features of every split, in SQL; trained models are checked by what must hold of them.
 _PARTS = S.SPLIT + ", train AS (SELECT * FROM parts WHERE split = 'train')" + S.features("parts", "train", "split")
@@ -23,10 +24,10 @@ TOLERANCE = 1e-6
 
 
 def _featured(spark, sf_dir):
-    """Split rows with features of baselines fitted on the training split; kept, as every model reads them."""
+    """Split rows with features of baselines fitted on the training split; written, as every model reads them."""
     parts = stored_split(spark, sf_dir)
     base = Baselines.fit(parts.where("split = 'train'"))
-    df = add_features(parts, base, scope=("split",)).select("trans_num", "is_fraud", "split", "category", *FEATURES).persist()
+    df = stored(add_features(parts, base, scope=("split",)).select("trans_num", "is_fraud", "split", "category", *FEATURES), "model-features")
     return df.where("split = 'train'"), df.where("split = 'val'")
 
 
@@ -242,7 +243,7 @@ def tree_attribution(spark, sf_dir):
 @query("ml14_global_attribution", "SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) AS feature, true AS averaged")
 def global_attribution(spark, sf_dir):
     """The mean sizes against a second way to them: summed and counted by row."""
-    rows = _explained(spark, sf_dir).persist()
+    rows = stored(_explained(spark, sf_dir).select("contributions"), "contributions")
     out = explain.global_attribution(rows)
     by_row = rows.select(F.inline("contributions")).groupBy("feature").agg((F.sum(F.abs("contribution")) / rows.count()).alias("again"))
     return out.join(by_row, "feature").select("feature", (F.abs(F.col("mean_abs_contribution") - F.col("again")) < TOLERANCE).alias("averaged"))

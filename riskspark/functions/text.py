@@ -105,6 +105,7 @@ MILD = (
     "Transaction exhibits mild variance from standard behavioral boundaries, "
     "but remains within plausible consumer habits."
 )
+JUMP, SURGE, LARGE, LATE = "large geographical jump (", "atypical spending surge (", "abnormally large order value ($", "late-night authorization"
 ROUTINE = "Transaction patterns are fully consistent with typical, routine human spending behavior."
 
 
@@ -112,13 +113,13 @@ def anomaly_reason(score: Column, distance: Column, user_ratio: Column, amt: Col
     """Why the anomaly score is what it is: drivers from 70, mild from 40, routine below."""
     drivers = F.concat_ws(
         ", ",
-        F.when(distance > 300, F.concat(F.lit("large geographical jump ("), fixed(distance, 0), F.lit(" km)"))),
+        F.when(distance > 300, F.concat(F.lit(JUMP), fixed(distance, 0), F.lit(" km)"))),
         F.when(
             user_ratio > 3.0,
-            F.concat(F.lit("atypical spending surge ("), fixed(user_ratio, 1), F.lit("x user average)")),
+            F.concat(F.lit(SURGE), fixed(user_ratio, 1), F.lit("x user average)")),
         ),
-        F.when(amt > 500, F.concat(F.lit("abnormally large order value ($"), fixed(amt, 2), F.lit(")"))),
-        F.when(night == 1, F.lit("late-night authorization")),
+        F.when(amt > 500, F.concat(F.lit(LARGE), fixed(amt, 2), F.lit(")"))),
+        F.when(night == 1, F.lit(LATE)),
     )
     severe = F.when(drivers != "", F.concat(F.lit(SEVERE_DRIVEN), drivers, F.lit("."))).otherwise(F.lit(SEVERE_PLAIN))
     return F.when(score >= 70.0, severe).when(score >= 40.0, F.lit(MILD)).otherwise(F.lit(ROUTINE))

@@ -161,7 +161,7 @@ def search(
                 F.col("f1").alias("val_f1"), "total_cost",
             )
         )
-    history = reduce(lambda a, b: a.unionByName(b), rows).persist()
+    history = stored(reduce(lambda a, b: a.unionByName(b), rows), "trials")
     best = history.agg(F.max_by("trial", F.struct(F.col("val_pr_auc"), -F.col("trial"))).alias("t")).first()["t"]
     kept.unpersist()
     return models[best - 1], history

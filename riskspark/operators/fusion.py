@@ -122,7 +122,7 @@ def class_at(p: Column, threshold: float) -> Column:
     return (p >= threshold).cast("int")
 
 
-# ---- reasons -----------------------------------------------------------------------
+# ---- reasons (fixed values: their wording and bounds) --------------------------------
 
 def short_reason(signals: Column, score: Column) -> Column:
     """One line naming the fired signals, or why there are none."""

@@ -85,6 +85,7 @@ WEIGHTED_RULES = (
 )
 
 
+# The wording of the signals' messages.
 def _amount_text(x: Inputs) -> Column:
     return F.concat(F.lit("Transaction amount ($"), fixed(x.amt, 2), F.lit(") exceeds $500 and is "),
                     fixed(x.cat_ratio, 1), F.lit("x the category median."))

@@ -117,15 +117,14 @@ def train(
     """Clean, split, fit features, choose a classifier by validation PR-AUC, grow the forest, choose
     fusion weights and the cost-optimal cut-off on ``calibrate_on``, and report on the test split."""
     prepared = preprocess(raw, order)
-    df = prepared.features().persist()
+    df = stored(prepared.features(), "features")
     part = lambda s: df.where(F.col("split") == s)
     candidates = candidates or (supervised.fit_forest, supervised.fit_histogram_boosting)
     model, _ = supervised.select_model([fit(part("train")) for fit in candidates], part("val"))
     forest = IsolationForest.fit(part("train"), trees=trees)
 
-    sources = forest.with_scores(model.with_probability(apply_rules(df))).select(
-        "trans_num", "split", "is_fraud", "amt", "p_ml", (F.col("s_anom") / 100.0).alias("s_anom"), "rule_score"
-    ).persist()
+    sources = stored(forest.with_scores(model.with_probability(apply_rules(df))).select(
+        "trans_num", "split", "is_fraud", "amt", "p_ml", (F.col("s_anom") / 100.0).alias("s_anom"), "rule_score"), "sources")
     held = sources.where(F.col("split") == "val")
     mixed = F.col("w_ml") * F.col("p_ml") + F.col("w_anomaly") * F.col("s_anom") + F.col("w_rules") * F.col("rule_score")
     grid = fusion.grid_areas(held, simplex_weights(), mixed, ("p_ml", "s_anom", "rule_score"), digits=9)

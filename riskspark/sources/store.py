@@ -91,6 +91,7 @@ def read_configs(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- decision log -----------------------------------------------------------------
 
+# The columns of the decision log.
 LOG_COLUMNS = (
     "trans_num", "card_masked", "amt", "category", "hybrid_score",
     "risk_level", "fraud_prob", "action", "logged_at",
