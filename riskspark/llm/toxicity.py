@@ -49,7 +49,6 @@ MARGIN = 1.5
 SUPPORT = 5
 FEATURES = 7
 BYTES_A_WORD = 4
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -128,7 +127,7 @@ def xxh64(word: str) -> int:
 
 
 def pair_codes(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return (before ^ (before >> np.uint64(31))) * MIX + words
+    return (((before << np.uint64(1)) | (before >> np.uint64(63))) ^ words).view(np.int64)
 
 
 @dataclass
@@ -204,14 +203,15 @@ def fitted(docs: DataFrame, sample: DataFrame, text_col: str, top: int) -> Model
     following, kinds = frame[["a_n0", "a_n1"]].to_numpy(), frame[["a_k0", "a_k1"]].to_numpy()
     masses = np.where(following > 0, DISCOUNT * kinds / np.maximum(following, 1), 1.0)
 
-    gathered = pairs.select(F.xxhash64("before").alias("v"), F.xxhash64("word").alias("w"), "n0", "n1").toArrow()  # bounded by the sample
-    v, w = (gathered[c].to_numpy().view(np.uint64) for c in ("v", "w"))
-    n = np.column_stack([gathered[c].to_numpy().astype(np.uint16) for c in ("n0", "n1")])  # no more than max_labelled
-    del gathered
-    pair = pair_codes(v, w)
+    v, w = F.xxhash64("before"), F.xxhash64("word")
+    code = F.shiftleft(v, 1).bitwiseOR(F.shiftrightunsigned(v, 63)).bitwiseXOR(w)  # as pair_codes; counts are no more than max_labelled
+    gathered = pairs.select(code.alias("code"), F.col("n0").cast("short"), F.col("n1").cast("short")).toArrow()  # 12 bytes a pair of the sample
+    pair = gathered["code"].to_numpy()
     order = np.argsort(pair)
+    pair, n = pair[order], np.column_stack([gathered[c].to_numpy()[order] for c in ("n0", "n1")])
+    del gathered, order
     return Models(
-        pair[order], n[order], following.astype(np.float32), frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses.astype(np.float32),
+        pair, n, following.astype(np.float32), frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses.astype(np.float32),
         backoff / backoff.sum(), top)
 
 
@@ -237,8 +237,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     context = docs.sparkSession.sparkContext
     sample = stored(labelled(docs, labels, id_col, text_col, label_col, max_labelled, max_words), "toxicity-sample")
     models = fitted(docs, sample, text_col, top)
-    curve, shared = None, context.broadcast(models)
-    if models:
+    curve, shared, some = None, context.broadcast(models), models is not None
+    del models  # the driver need not keep what the executors have
+    if some:
 
         def features(texts: list, toxic: list) -> list:
             return [*map(list, zip(*map(shared.value.features, texts))), toxic] if texts else [[]] * (FEATURES + 1)
