@@ -144,18 +144,34 @@ class Models:
     new: np.ndarray        # class: a word outside the sample, but for the corpus frequency that cancels
     top: int
 
+    def __post_init__(self) -> None:
+        self.words_ratio = np.log(self.likely[:, 1] / self.likely[:, 0])
+        self.masses_ratio = np.log(self.masses[:, 1] / self.masses[:, 0])
+        self.new_ratio = float(np.log(self.new[1] / self.new[0]))
+
     def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihood ratios, toxic over ordinary, of each word after the one before: of the full recursion, and of
-        what is well supported (the word alone where its pair is rare, 0 where the word is)."""
-        codes = codes_of(["", *words])
+        what is well supported (the word alone where its pair is rare, 0 where the word is). Words are looked up once
+        a text; without a counted pair the recursion is the product of backoff mass and word, a sum of logarithms."""
+        seen = {"": 0}
+        place = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
+        codes = codes_of(list(seen))
         at, known = find(self.words, codes)
-        likely, masses = np.where(known[:, None], self.likely[at], self.new), np.where(known[:, None], self.masses[at], 1.0)
-        pair, held = find(self.pairs, pair_codes(codes[:-1], codes[1:]))
-        counts = np.where(held[:, None], self.counts[pair], 0)
-        p = discounted(counts, np.maximum(self.following[at[:-1]], 1)) + masses[:-1] * likely[1:]  # a held pair's context is known
-        full = np.log(p[:, 1] / p[:, 0])
-        alone = np.log(likely[1:, 1] / likely[1:, 0])
-        return full, np.where(known[1:] & self.usual[at[1:]], np.where(counts.sum(axis=1) >= SUPPORT, full, alone), 0.0)
+        word = np.where(known, self.words_ratio[at], self.new_ratio)
+        mass = np.where(known, self.masses_ratio[at], 0.0)
+        alone = np.where(known & self.usual[at], word, 0.0)
+        before = np.concatenate([[0], place[:-1]])
+        full, sure = mass[before] + word[place], alone[place]
+        asked = np.flatnonzero(known[before] & known[place])
+        pair, held = find(self.pairs, pair_codes(codes[before[asked]], codes[place[asked]]))
+        asked, pair = asked[held], pair[held]
+        if len(asked):
+            counts, v, w = self.counts[pair], at[before[asked]], at[place[asked]]
+            p = discounted(counts, np.maximum(self.following[v], 1)) + self.masses[v] * self.likely[w]
+            full[asked] = np.log(p[:, 1] / p[:, 0])
+            often = asked[(counts.sum(axis=1) >= SUPPORT) & self.usual[w]]
+            sure[often] = full[often]
+        return full, sure
 
     def features(self, text: str | None) -> tuple[float, ...]:
         words = words_of(text)
