@@ -209,26 +209,32 @@ def fitted(docs: DataFrame, sample: DataFrame, text_col: str, top: int) -> Model
     every = shared.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ahead = by_class(pairs, "before").select("before", *[F.col(c).alias(f"a_{c}") for c in ("n0", "n1", "k0", "k1")])
     table = words.join(shared.withColumnRenamed("n", "df"), "word", "left").join(ahead, F.col("word") == F.col("before"), "full")
-    counted = table.select(F.xxhash64(F.coalesce("word", "before")).alias("code"), *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("df", "k0", "k1", "a_n0", "a_n1", "a_k0", "a_k1")])
-    frame = counted.toPandas().sort_values("code", key=lambda c: c.to_numpy(np.int64).view(np.uint64))  # bounded by the words of the sample
-    codes = frame["code"].to_numpy(np.int64).view(np.uint64)
+    counted = table.select(
+        F.xxhash64(F.coalesce("word", "before")).alias("code"), F.coalesce("df", F.lit(0)).cast("long").alias("df"), *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("k0", "k1", "a_n0", "a_n1", "a_k0", "a_k1")])
+    frame = counted.toArrow()  # 40 bytes a word of the sample
+    codes = frame["code"].to_numpy().view(np.uint64)
+    by_code = np.argsort(codes)
+    codes = codes[by_code]
+    both = lambda name: np.column_stack([frame[f"{name}{t}"].to_numpy()[by_code] for t in (0, 1)])
     total, vocabulary = (np.array([whole[f"{x}{t}"] for t in (0, 1)], float) for x in ("k", "v"))
     backoff = DISCOUNT * vocabulary / total
-    base = (frame["df"].to_numpy() + 1) / (every["n"] + every["v"] + 1)
-    likely = discounted(frame[["k0", "k1"]].to_numpy(), total) + backoff * base[:, None]
-    following, kinds = frame[["a_n0", "a_n1"]].to_numpy(), frame[["a_k0", "a_k1"]].to_numpy()
-    masses = np.where(following > 0, DISCOUNT * kinds / np.maximum(following, 1), 1.0)
+    base = (frame["df"].to_numpy()[by_code] + 1) / (every["n"] + every["v"] + 1)
+    contexts, following = both("k"), both("a_n")
+    likely = discounted(contexts, total) + backoff * base[:, None]
+    masses = np.where(following > 0, DISCOUNT * both("a_k") / np.maximum(following, 1), 1.0).astype(np.float32)
+    usual, following = contexts.sum(axis=1) >= SUPPORT, following.astype(np.float32)
+    del frame, by_code, base, contexts
 
     v, w = F.xxhash64("before"), F.xxhash64("word")
     code = F.shiftleft(v, 1).bitwiseOR(F.shiftrightunsigned(v, 63)).bitwiseXOR(w)  # as pair_codes; counts are no more than max_labelled
     gathered = pairs.select(code.alias("code"), F.col("n0").cast("short"), F.col("n1").cast("short")).toArrow()  # 12 bytes a pair of the sample
-    pair = gathered["code"].to_numpy()
+    pair, n = gathered["code"].to_numpy(), [gathered[c].to_numpy() for c in ("n0", "n1")]
+    del gathered
     order = np.argsort(pair)
-    pair, n = pair[order], np.column_stack([gathered[c].to_numpy()[order] for c in ("n0", "n1")])
-    del gathered, order
-    return Models(
-        pair, n, following.astype(np.float32), frame[["k0", "k1"]].sum(axis=1).to_numpy() >= SUPPORT, codes, likely, masses.astype(np.float32),
-        backoff / backoff.sum(), top)
+    pair, n = pair[order], np.column_stack([c[order] for c in n])
+    del order
+    pa.default_memory_pool().release_unused()
+    return Models(pair, n, following, usual, codes, likely, masses, backoff / backoff.sum(), top)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
