@@ -311,7 +311,7 @@ def calibrated(spark, sf_dir):
     from riskspark.ml.iforest import calibration_bounds
 
     raw = -F.least(F.lit(1.0), haversine_km(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long")) / 5000.0)
-    df = txn(spark, sf_dir).withColumn("raw", raw)
+    df = txn(spark, sf_dir, parse_once=True).withColumn("raw", raw)
     bounds = calibration_bounds(df, "raw").select(F.struct("*")).scalar()
     return df.withColumn("_b", bounds).withColumn("score", fusion.calibrate_anomaly(F.col("raw"), F.col("_b.low"), F.col("_b.high"))).drop("_b")
 

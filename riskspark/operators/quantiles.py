@@ -22,10 +22,11 @@ def _slice(v: Column) -> Column:
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
     """One row per group with a column per named probability (linear interpolation). With ``weight`` a row
-    stands for so many equal ones."""
+    stands for so many equal ones. A generator keeps the value a column, where the optimizer would otherwise
+    compute it again in the filter, the grouping and the slice."""
     by = list(by)
     sliced = (
-        df.select(*by, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w"))
+        df.select(*by, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w"), F.explode(F.array(F.col(value).cast("double"))).alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*by, "_v")
         .agg(F.sum("_w").alias("_n"))

@@ -47,3 +47,17 @@ def test_null_groups_nan_and_infinite_values(spark):
 def test_medians_skip_nan(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("nan"),), (float("nan"),)], "v double")
     assert medians(df, ["v"]).first().v == 2.0
+
+
+def test_value_is_computed_once_a_use(spark):
+    """A costly value is not computed again in the filter, the grouping and the slice."""
+    value = F.atan2(F.sqrt(F.col("id")), F.lit(2.0)) + F.sin("id")
+    plan = quantiles(spark.range(9).withColumn("v", value), "v", {"mid": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ATAN2") == 2  # once for the histogram, once for the picked slices
+
+
+def test_calibrated_score_parses_a_row_once(spark):
+    from riskspark.catalog.functions import calibrated
+
+    plan = calibrated(spark, "/root/testdata/sf0.001").select("score")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") <= 3  # the rows, and twice in the bounds
