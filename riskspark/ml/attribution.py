@@ -14,7 +14,7 @@ are broadcast after their bytes are counted.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,7 @@ from riskspark.session import shared_folder
 
 MODEL_BYTES = 256 << 20  # what may be sent to every executor
 CELLS = 1 << 20          # rows times leaves times features worked on at once
+TABLE_BYTES = 64 << 20   # of the answers kept by the conditions met
 
 
 @dataclass
@@ -48,24 +49,67 @@ class Leaves:
 
     def add_to(self, phi: np.ndarray, x: np.ndarray) -> None:
         n, d = self.features.shape
-        points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-        points, weights = (points + 1) / 2, weights / 2
         some = max(1, CELLS // (d * max(len(x), 1)))
         for a in range(0, n, some):
             f, share, amount = self.features[a : a + some], self.share[a : a + some], self.amount[a : a + some]
             values = x[:, f]
             met = ((values > self.low[a : a + some]) & (values <= self.high[a : a + some])).astype(float)
-            inner = np.zeros_like(met)
-            for t, w in zip(points, weights):
-                factors = share * (1 - t) + met * t
-                inner += w * factors.prod(axis=2, keepdims=True) / factors
-            given = inner * (met - share) * amount[:, None]
+            given = _given(share, met, amount)
             for i in range(d):
                 to = np.zeros((len(f), phi.shape[1]))
                 to[np.arange(len(f)), f[:, i]] = 1.0
                 phi += given[:, :, i] @ to
 
 
+class Tables:
+    """Of a leaf, what a row gets depends only on which of its conditions the row meets: every answer is worked out
+    once, and a row looks them up. 2 ** d answers for d features; leaves come in order of d while they fit into
+    ``limit`` bytes, those that do not keep their quadrature. A condition that many leaves share is tested once."""
+
+    def __init__(self, leaves: list[Leaves], width: int, limit: int = TABLE_BYTES):
+        self.rest: list[Leaves] = []
+        self.answers: list[tuple[np.ndarray, np.ndarray]] = []
+        places: dict[tuple, int] = {}
+        for group in leaves:
+            n, d = group.features.shape
+            each = (width << d) * 8
+            fit = min(n, limit // each)
+            limit -= fit * each
+            if fit < n:
+                self.rest.append(Leaves(*(a[fit:] for a in (group.features, group.low, group.high, group.share, group.amount))))
+            for leaf in range(fit):
+                f = group.features[leaf]
+                met = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+                table = np.zeros((1 << d, width))
+                table[:, f] = _given(group.share[leaf], met, group.amount[leaf : leaf + 1])
+                conditions = zip(f.tolist(), group.low[leaf].tolist(), group.high[leaf].tolist())
+                self.answers.append((np.array([places.setdefault(c, len(places)) for c in conditions]), table))
+        self.conditions = list(places)
+
+    def add_to(self, phi: np.ndarray, x: np.ndarray) -> None:
+        met = np.empty((len(self.conditions), len(x)), dtype=np.int64)
+        columns = np.ascontiguousarray(x.T)
+        for place, (f, low, high) in enumerate(self.conditions):
+            met[place] = (columns[f] > low) & (columns[f] <= high)
+        for places, table in self.answers:
+            pattern = met[places[-1]]
+            for place in places[-2::-1]:
+                pattern = (pattern << 1) | met[place]
+            phi += table.take(pattern, axis=0)
+        for group in self.rest:
+            group.add_to(phi, x)
+
+
+def _given(share: np.ndarray, met: np.ndarray, amount: np.ndarray) -> np.ndarray:
+    """What each feature gets of a leaf's value; features along the last axis."""
+    points, weights = np.polynomial.legendre.leggauss((share.shape[-1] + 1) // 2)
+    inner = np.zeros(np.broadcast_shapes(share.shape, met.shape))
+    for t, w in zip((points + 1) / 2, weights / 2):
+        factors = share * (1 - t) + met * t
+        inner += w * factors.prod(axis=-1, keepdims=True) / factors
+    return inner * (met - share) * amount[:, None]
+
+
 def explain(model: FraudModel, df: DataFrame, name: str = "contributions") -> DataFrame:
     """Adds (feature, value, contribution) per feature and ``base_value``; base plus contributions
     is the model's output for the row."""
@@ -79,9 +123,11 @@ def explain(model: FraudModel, df: DataFrame, name: str = "contributions") -> Da
     width = len(model.features)
 
     @F.pandas_udf("array<double>")
-    def contributions(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(float) for c in columns])
-        return pd.Series(list(_batch(x, shared.value, width)))
+    def contributions(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        tables = Tables(shared.value, width)
+        for columns in batches:
+            x = np.column_stack([c.to_numpy(float) for c in columns])
+            yield pd.Series(list(_batch(x, [tables], width)))
 
     values = [F.col(f).cast("double") for f in model.features]
     items = [
@@ -99,7 +145,7 @@ def _explain_linear(model: FraudModel, df: DataFrame, name: str) -> DataFrame:
     return linear_contributions(df, weights, means, float(logistic.intercept), name)
 
 
-def _batch(x: np.ndarray, leaves: list[Leaves], width: int) -> np.ndarray:
+def _batch(x: np.ndarray, leaves: Sequence[Leaves | Tables], width: int) -> np.ndarray:
     phi = np.zeros((len(x), width))
     for a in range(0, len(x), 1024):
         for group in leaves:

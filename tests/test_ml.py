@@ -90,6 +90,17 @@ def test_leaf_is_the_shapley_value(d):
         assert row[::2] == pytest.approx(enumerated(2.5, conditions, list(met)), abs=1e-12) and not row[1::2].any()
 
 
+@pytest.mark.parametrize("limit", [0, 3000, 1 << 20])
+def test_looked_up_answers_are_the_quadrature(limit):
+    """Leaves with and without room for their answers; features that share a condition, and rows on a bound."""
+    rng = np.random.default_rng(5)
+    found = [(float(v), {int(j): (0.25, float(rng.choice([0.5, np.inf])), float(rng.uniform(0.1, 0.9))) for j in rng.permutation(7)[: 1 + i % 6]}) for i, v in enumerate(rng.normal(size=40))]
+    leaves, x = attribution.grouped(found), rng.choice([0.0, 0.25, 0.4, 0.5, 0.6, np.nan], (300, 7))
+    tables = attribution.Tables(leaves, 7, limit)
+    assert len(tables.answers) + sum(len(g.amount) for g in tables.rest) == 40 and (len(tables.rest) == 0) == (limit == 1 << 20)
+    assert attribution._batch(x, [tables], 7) == pytest.approx(attribution._batch(x, leaves, 7), abs=1e-12)
+
+
 def test_deep_trees_on_noisy_labels(frame):
     """150 rounds of depth 10 over labels that follow nothing: leaves of every depth, additive, and few bytes."""
     noisy = frame.withColumn("is_fraud", (F.xxhash64("trans_num") % 2 == 0).cast("int"))
