@@ -22,6 +22,7 @@ from riskspark.functions.numeric import half_even, percent
 from riskspark.operators.fusion import calibrate_anomaly
 from riskspark.operators.quantiles import quantiles
 from riskspark.operators.split import hash_order
+from riskspark.session import stored
 
 TREES, SAMPLE = 120, 256
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, rows int, path double"
@@ -104,28 +105,30 @@ class IsolationForest:
         grown = dealt.groupBy("tree").applyInPandas(lambda rows: _grow(rows, names, seed), NODE_SCHEMA)
         nodes = grown.toPandas().sort_values(["tree", "node"])  # bounded: trees times 2 * sample nodes
         forest = cls(nodes, tuple(names), int(nodes.groupby("tree")["rows"].max().max()))
-        bounds = calibration_bounds(df.select(forest.raw_score().alias("raw"))).first()
+        raw = stored(df.select(forest.raw_score().alias("raw")), "raw-scores")  # the quantiles read it more than once
+        bounds = calibration_bounds(raw).first()
         forest.low, forest.high = bounds["low"], bounds["high"]
         return forest
 
     def raw_score(self) -> Column:
         """-2 ** (-mean path / expected path): the lower, the more isolated."""
         arrays = [
-            (t["feature"].to_numpy(), t["threshold"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), t["path"].to_numpy())
+            (np.maximum(t["feature"].to_numpy(np.int64), 0), t["threshold"].to_numpy(), t[["right", "left"]].to_numpy(np.int64).ravel(), t["path"].to_numpy())
             for _, t in self.nodes.groupby("tree")
-        ]
+        ]  # both children of a leaf are the leaf, so whichever feature it is given does not matter
         expected, height = mean_path(self.sample), math.ceil(math.log2(max(self.sample, 2)))
         shared = SparkSession.active().sparkContext.broadcast(arrays)
 
         @F.pandas_udf("double")
         def score(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([c.to_numpy(float) for c in columns])
-            at, total = np.arange(len(x)), np.zeros(len(x))
-            for feature, threshold, left, right, path in shared.value:
+            cells, first, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+            for feature, threshold, children, path in shared.value:
                 node = np.zeros(len(x), dtype=np.int64)
                 for _ in range(height):
-                    node = np.where(x[at, feature[node]] <= threshold[node], left[node], right[node])
-                total += path[node]
+                    met = cells.take(first + feature.take(node)) <= threshold.take(node)
+                    node = children.take(2 * node + met)
+                total += path.take(node)
             return pd.Series(-np.exp2(-total / len(shared.value) / expected))
 
         return score(*[F.col(f).cast("double") for f in self.features])

@@ -101,6 +101,16 @@ def test_looked_up_answers_are_the_quadrature(limit):
     assert attribution._batch(x, [tables], 7) == pytest.approx(attribution._batch(x, leaves, 7), abs=1e-12)
 
 
+def test_forest_scores_its_rows_once_for_the_bounds(frame, monkeypatch):
+    """The bounds are read from written scores, not from a plan that scores again for each use."""
+    from riskspark.ml import iforest
+
+    plans, bounds = [], iforest.calibration_bounds
+    monkeypatch.setattr(iforest, "calibration_bounds", lambda df, raw="raw": plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or bounds(df, raw))
+    IsolationForest.fit(frame, FEATURES, trees=3, sample=16)
+    assert len(plans) == 1 and "ArrowEvalPython" not in plans[0]
+
+
 def test_deep_trees_on_noisy_labels(frame):
     """150 rounds of depth 10 over labels that follow nothing: leaves of every depth, additive, and few bytes."""
     noisy = frame.withColumn("is_fraud", (F.xxhash64("trans_num") % 2 == 0).cast("int"))
