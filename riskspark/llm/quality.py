@@ -84,32 +84,40 @@ def divergence(p: np.ndarray, q: np.ndarray) -> float:
         return float(sum(np.where(a > 0, a * np.log2(a / m), 0.0).sum() for a in (p, q)) / 2)
 
 
-def reference_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+def reference_counts(docs: DataFrame, text_col: str, lang_col: str, chunk: int = 100_000) -> DataFrame:
     """Per language: documents, character classes and words, summed within each task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
         other: dict[tuple[str, str], int] = Counter()
 
-        def emit() -> pa.RecordBatch:
-            rows = [(lang, "word", w, n) for lang, c in words.items() for w, n in c.items()]
-            rows += [(lang, kind, "", n) for (lang, kind), n in other.items()]
-            words.clear()
+        def columns(langs: list, kinds: list, items: list, n: list) -> pa.RecordBatch:
+            made = [pa.array(c, t) for c, t in zip((langs, kinds, items, n), (pa.string(), pa.string(), pa.string(), pa.int64()))]
+            return pa.RecordBatch.from_arrays(made, names=["lang", "kind", "item", "n"])
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for lang in list(words):
+                found = words.pop(lang)
+                yield columns([lang] * len(found), ["word"] * len(found), list(found), list(found.values()))
+            yield columns([lang for lang, _ in other], [kind for _, kind in other], [""] * len(other), list(other.values()))
             other.clear()
-            cols = list(zip(*rows)) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["lang", "kind", "item", "n"])
 
+        held = 0
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
+                text = text.as_py()  # one text at a time in Python
                 other[lang, "docs"] += 1
                 if text:
-                    found = letter_words(text)
-                    words[lang].update(found)
+                    found, mine = letter_words(text), words[lang]
+                    held -= len(mine)
+                    mine.update(found)
+                    held += len(mine)
                     other[lang, "words"] += len(found)
                     for name, n in zip(CLASSES, class_counts(text, text.encode())):
                         other[lang, name] += n
-            if sum(map(len, words.values())) > 500_000:
-                yield emit()
-        yield emit()
+                if held > chunk:  # bounded memory, whatever the texts of a batch hold; Spark sums the chunks
+                    yield from emit()
+                    held = 0
+        yield from emit()
 
     counted = docs.select(F.col(text_col), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang")).mapInArrow(run, "lang string, kind string, item string, n long")
     return counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))

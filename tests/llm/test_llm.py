@@ -585,3 +585,13 @@ def test_pipeline_empty(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         at = stage(spark, at, SF)
     assert at.count() == 0
+
+
+def test_quality_counts_in_bounded_chunks(spark):
+    """One batch of texts of different words: a task holds no more words than a chunk and a text, and nothing is lost."""
+    rows = [(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} same", "en" if i % 3 else None) for i in range(100)] + [(None, "en"), ("", "de")]
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    made = lambda chunk: quality.reference_counts(docs, "text", "lang", chunk)
+    whole = {tuple(r) for r in made(10**6).collect()}
+    assert {tuple(r) for r in made(5).collect()} == whole
+    assert ("en", "word", "same", 66) in whole and ("", "word", "same", 34) in whole and ("en", "docs", "", 67) in whole
