@@ -45,15 +45,15 @@ def _replay(placed, path, run):
         run(scoring.read_transactions(spark, f"{path}/in", rows.schema)).awaitTermination()
 
 
-def _append(path, out):
-    return scoring.append_to(out, f"{path}/out", f"{path}/checkpoint")
+def _append(path, out, partitions=None):
+    return scoring.append_to(out, f"{path}/out", f"{path}/checkpoint", partitions)
 
 
 def _replay_scored(spark, sf_dir, path, finish):
     """Score the stream with baselines of the whole table and append ``finish`` of it."""
     df = txn_dense(spark, sf_dir)
     base = Baselines.fit(df)
-    _replay(_portioned(df), path, lambda stream: _append(path, finish(scoring.score_stream(stream, base, with_surrogates))))
+    _replay(_portioned(df), path, lambda stream: _append(path, finish(scoring.score_stream(stream, base, with_surrogates)), scoring.state_partitions(spark)))
     return spark.read.parquet(f"{path}/out")
 
 
@@ -82,7 +82,7 @@ def stream_scoring(spark, sf_dir):
 
 def _stream_velocity(spark, sf_dir, path, placed, **options):
     keep = ("trans_num", "trans_velocity_1h", "trans_velocity_24h")
-    _replay(placed, path, lambda stream: _append(path, with_velocity(stream, **options).select(*keep)))
+    _replay(placed, path, lambda stream: _append(path, with_velocity(stream, **options).select(*keep), scoring.state_partitions(spark)))
     return spark.read.parquet(f"{path}/out")
 
 

@@ -119,3 +119,23 @@ def test_windows_close_at_the_end(spark, tmp_path):
     replay([("d", 185), ("e", 30)])  # e is behind the watermark
     replay.close()
     assert sorted(map(tuple, replay.rows().collect())) == [(0, "HIGH RISK", 1, 1), (0, "LOW RISK", 1, 1), (2, "LOW RISK", 1, 1), (3, "HIGH RISK", 1, 1)]
+
+
+def test_keyed_state_is_cut_by_the_cores(spark, tmp_path):
+    """Partitions of the state follow the cores, not a large session setting, which stays as it was."""
+    name, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1000 * cores))
+    try:
+        assert scoring.state_partitions(spark) == 2 * cores
+        rows = spark.createDataFrame([("a", at(0), 1, 1.0)], SCHEMA)
+        rows.write.parquet(str(tmp_path / "one"))
+        stream = scoring.read_transactions(spark, str(tmp_path / "one"), rows.schema)
+        query = scoring.append_to(with_velocity(stream), str(tmp_path / "o"), str(tmp_path / "c"), 2)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
+        assert spark.conf.get(name) == str(1000 * cores)
+        spark.conf.set(name, "1")
+        assert scoring.state_partitions(spark) == 1
+    finally:
+        spark.conf.set(name, before)
