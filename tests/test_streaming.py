@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from riskspark.operators.velocity import card_velocity
 from riskspark.streaming import scoring
-from riskspark.streaming.keyed import closing_row, with_velocity
+from riskspark.streaming.keyed import BATCH, PIECE, CardCounts, closing_row, with_velocity
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "trans_num string, trans_ts timestamp, cc_num long, amt double"
@@ -139,3 +142,44 @@ def test_keyed_state_is_cut_by_the_cores(spark, tmp_path):
         assert scoring.state_partitions(spark) == 1
     finally:
         spark.conf.set(name, before)
+
+
+class State(dict):
+    """Map or value state of one key, and its timers."""
+
+    keys, getValue, updateValue, removeKey = (lambda self: list(self)), dict.get, dict.__setitem__, dict.pop
+    get, update, timers = (lambda self: dict.get(self, 0)), (lambda self, v: self.__setitem__(0, v)), ()
+
+    def getMapState(self, *_):
+        return State()
+
+    getValueState = getMapState
+
+    def registerTimer(self, at):
+        self.timers = (*self.timers, at)
+
+
+def test_a_cards_rows_are_released_a_part_at_a_time():
+    """Rows that arrive in any order leave in order of time; no release holds all that wait, ties are not parted."""
+    rng, windows, handle = random.Random(3), {"n": 3}, State()
+    data = [(rng.randrange(60_000) * 1_000_000, i, rng.random() < 0.9) for i in range(60_000)]
+    sizes, card = [], CardCounts(windows)
+    card.init(handle)
+    release = card.release
+    card.release = lambda key, rows, memory: (sizes.append(len(rows)), release(key, rows, memory))[1]
+    frames = [pd.DataFrame([(us, t, int(c), str(t)) for us, t, c in data[at : at + BATCH]], columns=["us", "tie", "counts", "payload"]) for at in range(0, len(data), BATCH)]
+    got = []
+    for part in (frames[:4], frames[4:]):
+        list(card.handleInputRows(("c",), iter(part), None))
+    for mark in (40_000_000, 10**9):  # in ms; some rows stay for the second
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda mark=mark: mark)
+        got += [(int(t), n) for f in card.handleExpiredTimer(("c",), now, None) for t, n in zip(f["payload"], f["n"])]
+        assert max(sizes) < BATCH + 2 * PIECE * len(frames) < len(data) / 2
+    past, expected = [], []
+    for us, t, c in sorted(data):
+        past.append(us) if c else None
+        while past and past[0] <= us - 3_000_000:
+            past.pop(0)
+        expected.append((t, max(len(past) - 1, 0)))
+    assert got == expected and not card.waiting
+    assert handle.timers[0] == min(us for f in frames[:4] for us in f["us"]) // 1000 + 1
