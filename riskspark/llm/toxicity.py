@@ -31,8 +31,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,7 @@ MARGIN = 1.5
 SUPPORT = 5
 FEATURES = 7
 BYTES_A_WORD = 4
+SIGN = np.uint64(1 << 63)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -118,12 +121,8 @@ def document_frequencies(docs: DataFrame, text_col: str, chunk: int = 200_000) -
     return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def codes_of(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(xxh64, words), np.uint64, len(words))
-
-
-def xxh64(word: str) -> int:
-    return xxhash.xxh64_intdigest(word, 42)  # as Spark hashes text
+def codes_of(words: Collection[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), np.uint64, len(words))  # as Spark hashes text
 
 
 def pair_codes(before: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -149,21 +148,29 @@ class Models:
         self.masses_ratio = np.log(self.masses[:, 1] / self.masses[:, 0])
         self.new_ratio = float(np.log(self.new[1] / self.new[0]))
 
+    @cached_property
+    def word_starts(self) -> np.ndarray:  # worked out in the tasks, not sent
+        return starts_of(self.words)
+
+    @cached_property
+    def pair_starts(self) -> np.ndarray:
+        return starts_of(self.pairs)
+
     def ratios(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihood ratios, toxic over ordinary, of each word after the one before: of the full recursion, and of
         what is well supported (the word alone where its pair is rare, 0 where the word is). Words are looked up once
         a text; without a counted pair the recursion is the product of backoff mass and word, a sum of logarithms."""
-        seen = {"": 0}
-        place = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
-        codes = codes_of(list(seen))
-        at, known = find(self.words, codes)
+        seen = dict(zip(dict.fromkeys(("", *words)), count()))
+        place = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        codes = codes_of(seen)
+        at, known = find(self.words, self.word_starts, codes)
         word = np.where(known, self.words_ratio[at], self.new_ratio)
         mass = np.where(known, self.masses_ratio[at], 0.0)
         alone = np.where(known & self.usual[at], word, 0.0)
         before = np.concatenate([[0], place[:-1]])
         full, sure = mass[before] + word[place], alone[place]
         asked = np.flatnonzero(known[before] & known[place])
-        pair, held = find(self.pairs, pair_codes(codes[before[asked]], codes[place[asked]]))
+        pair, held = find(self.pairs, self.pair_starts, pair_codes(codes[before[asked]], codes[place[asked]]))
         asked, pair = asked[held], pair[held]
         if len(asked):
             counts, v, w = self.counts[pair], at[before[asked]], at[place[asked]]
@@ -184,8 +191,28 @@ class Models:
         return (*out, math.log1p(len(words)))
 
 
-def find(known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+def in_order(codes: np.ndarray) -> np.ndarray:
+    """Unsigned numbers of the same order."""
+    return codes.view(np.uint64) ^ SIGN if codes.dtype == np.int64 else codes
+
+
+def starts_of(known: np.ndarray) -> np.ndarray:
+    """Where each range of leading bits starts in the sorted hashes; a range holds some 2 to 4."""
+    bits = max(len(known).bit_length() - 2, 1)
+    bounds = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.searchsorted(known, in_order(bounds.view(np.int64)).view(np.int64) if known.dtype == np.int64 else bounds).astype(np.int32)
+
+
+def find(known: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each code, or of the next known one, and whether it is known: a few steps from the start of its range,
+    where a search of the whole array would miss the processor's cache at most of its steps."""
+    last = len(known) - 1
+    at = np.minimum(starts[in_order(codes) >> np.uint64(65 - len(starts).bit_length())], last)
+    rest = np.flatnonzero(known[at] < codes)
+    while len(rest):
+        rest = rest[at[rest] < last]
+        at[rest] += 1
+        rest = rest[known[at[rest]] < codes[rest]]
     return at, known[at] == codes
 
 

@@ -595,3 +595,15 @@ def test_quality_counts_in_bounded_chunks(spark):
     whole = {tuple(r) for r in made(10**6).collect()}
     assert {tuple(r) for r in made(5).collect()} == whole
     assert ("en", "word", "same", 66) in whole and ("", "word", "same", 34) in whole and ("en", "docs", "", 67) in whole
+
+
+@pytest.mark.parametrize("kind", [np.int64, np.uint64])
+def test_toxicity_lookup_by_ranges(kind):
+    """The same places as a search of the whole array, also at its ends, among equal codes and outside."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 7, 3000):
+        known = np.sort(np.concatenate([rng.integers(0, 2**64 - 1, n, dtype=np.uint64).view(kind)] * 2))
+        asked = np.concatenate([known, known + kind(1), known - kind(1), np.array([np.iinfo(kind).min, np.iinfo(kind).max], kind)])
+        at, held = toxicity.find(known, toxicity.starts_of(known), asked)
+        expected = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        assert (at == expected).all() and (held == (known[expected] == asked)).all()
