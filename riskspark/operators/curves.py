@@ -12,6 +12,7 @@ from riskspark.functions.numeric import half_even, nan_to_null, ratio
 
 PER_UNIT = 100  # slices per unit of log-odds, or of the log scale outside 0-1
 LOG_ODDS = 40.0  # of the scores between 0 and 1
+ROWS_PER_TASK = 500_000  # of a sliced histogram; a task keeps them in memory
 
 
 def score_histogram(df: DataFrame, score: Column, label: str = "is_fraud", by: Sequence[str] = ()) -> DataFrame:
@@ -26,12 +27,16 @@ def counted_histogram(df: DataFrame, score: Column, pos: Column, neg: Column, by
     return scored.groupBy(*by, F.col("_score").alias("score")).agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
 
 
-def sliced_histogram(df: DataFrame, score: Column, pos: Column, neg: Column, by: Sequence[str]) -> DataFrame:
-    """A histogram of rows whose scores are nearly all distinct: they move once, to the task of their slice, where
-    counting, running totals and areas all take place."""
+def sliced_counts(df: DataFrame, score: Column, pos: Column, neg: Column, by: Sequence[str], rows: int) -> DataFrame:
+    """``cumulative_counts`` of ``rows`` rows whose scores are nearly all distinct: they move once, to the task of their
+    slice, where counting, running totals and areas all take place. Tasks grow in number with the rows, so that none
+    spills; slice totals are summed before anything moves."""
     scored = df.select(*by, nan_to_null(score.cast("double")).alias("score"), pos.alias("pos"), neg.alias("neg")).where(F.col("score").isNotNull())
-    placed = scored.withColumn("_slice", _slice(F.col("score"))).repartition(*by, "_slice")
-    return placed.groupBy(*by, "_slice", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    sliced = scored.withColumn("_slice", _slice(F.col("score")))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    placed = sliced.repartition(tasks, *by, "_slice")
+    histogram = placed.groupBy(*by, "_slice", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return cumulative_counts(histogram, by, sliced)
 
 
 def _slice(score: Column) -> Column:
@@ -43,19 +48,20 @@ def _slice(score: Column) -> Column:
     return F.floor(place * PER_UNIT).cast("bigint")
 
 
-def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def cumulative_counts(histogram: DataFrame, by: Sequence[str] = (), uncounted: DataFrame | None = None) -> DataFrame:
     """Adds tp and fp (rows scoring at least this much) and the class totals.
 
     A running total in two levels: slices of the score range are summed and
     accumulated first (at most some 8,000 rows per group for scores between 0
-    and 1), then each slice runs on its own from what lies above it.
+    and 1), then each slice runs on its own from what lies above it. Slices are summed from
+    ``uncounted``, the sliced rows that the histogram counts, where these cost less.
     """
     by = list(by)
     sliced = histogram if "_slice" in histogram.columns else histogram.withColumn("_slice", _slice(F.col("score")))
     above = W.partitionBy(*by).orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
     offsets = (
-        sliced.groupBy(*by, "_slice")
+        (sliced if uncounted is None else uncounted).groupBy(*by, "_slice")
         .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
         .select(
             *[F.col(c).alias(f"_of_{c}") for c in by], F.col("_slice").alias("_of_slice"),
@@ -67,8 +73,8 @@ def cumulative_counts(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame
     )
     inside = W.partitionBy(*by, "_slice").orderBy(F.col("score").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
     on = F.col("_slice") == F.col("_of_slice")
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    for c in by:  # plain equality, where it is enough, keeps the rows in the tasks of their slices
+        on = on & (F.col(c).eqNullSafe(F.col(f"_of_{c}")) if sliced.schema[c].nullable else F.col(c) == F.col(f"_of_{c}"))
     return (
         sliced.join(offsets, on)
         .withColumns(

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from riskspark.config import ANOMALY_CUTOFF, FROZEN_FUSION, TIERS, UNIT_FUSION, FusionConfig
 from riskspark.functions.numeric import clip, fixed, half_even
-from riskspark.operators.curves import areas, cumulative_counts, sliced_histogram
+from riskspark.operators.curves import ROWS_PER_TASK, areas, sliced_counts
 from riskspark.session import stored
 
+SOURCE_ROWS = 8 * ROWS_PER_TASK  # that a task makes of its sources and weight sets; it sorts them by task in memory
+
 
 def normalized(w_ml: Column, w_anomaly: Column, w_rules: Column) -> tuple[Column, Column, Column]:
     total = w_ml + w_anomaly + w_rules
@@ -90,10 +92,14 @@ def source_counts(df: DataFrame, sources: Sequence[str], label: str = "is_fraud"
 
 
 def grid_areas(df: DataFrame, sets: Iterable[tuple], mix: Column, sources: Sequence[str], label: str = "is_fraud", digits: int | None = 6) -> DataFrame:
-    """PR-AUC and ROC-AUC of every weight set in one sliced pass over the distinct sources."""
-    rows = with_weight_sets(source_counts(df, sources, label), sets)
-    histogram = sliced_histogram(rows, mix, F.col("pos"), F.col("neg"), by=("config",))
-    return areas(cumulative_counts(histogram, by=("config",)), by=("config",), digits=digits)
+    """PR-AUC and ROC-AUC of every weight set in one sliced pass over the distinct sources, dealt to tasks that
+    can hold what the sets make of them."""
+    sets = list(sets)
+    counts = source_counts(df, sources, label)
+    rows = counts.count() * len(sets)
+    dealt = counts.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SOURCE_ROWS)), *sources)
+    moved = sliced_counts(with_weight_sets(dealt, sets), mix, F.col("pos"), F.col("neg"), ("config",), rows)
+    return areas(moved, by=("config",), digits=digits)
 
 
 def score_breakdown(

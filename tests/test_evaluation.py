@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskspark.config import SWEEP_9, SWEEP_37, WITH_OPERATIONS, WITHOUT_OPERATIONS
-from riskspark.operators import metrics
+from riskspark.operators import curves, fusion, metrics
 from riskspark.operators.cost import cheapest, confusion, cost_breakdown, policy_comparison, sweep
 from riskspark.operators.curves import curve_areas, curve_points
 
@@ -66,6 +66,26 @@ def test_areas_without_one_class(spark):
     assert tuple(curve_areas(df, F.col("p")).first()) == (0.0, 0.0)
 
 
+def test_weight_grid_moves_rows_once_in_many_tasks(spark, monkeypatch):
+    """Tasks follow the rows of the grid, 900 of them here, and slice totals need no rows moved."""
+    rng = random.Random(7)
+    rows = [(int(rng.random() < 0.2), rng.random(), rng.random()) for _ in range(300)] + [(1, None, 0.5)]
+    df = spark.createDataFrame(rows, "is_fraud int, a double, b double")
+    sets = [(0, 0.7, 0.3, 0.0), (1, 0.5, 0.5, 0.0), (2, 0.0, 1.0, 0.0)]
+    monkeypatch.setattr(curves, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(fusion, "SOURCE_ROWS", 200)
+    out = fusion.grid_areas(df, iter(sets), F.col("w_ml") * F.col("a") + F.col("w_anomaly") * F.col("b"), ("a", "b"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("), REPARTITION_BY_NUM") == 3 and "REPARTITION_BY_COL" not in plan  # sources for rows and totals, rows
+    assert plan.count(", 10), REPARTITION_BY_NUM") == 1 and plan.count(", 5), REPARTITION_BY_NUM") == 2
+    kept = [x for x in plan.splitlines() if "Exchange" in x and "coalesce(config" in x]
+    assert not kept, "rows stay in the task of their slice for the join"
+    for r in out.collect():
+        _, x, y, _ = sets[r.config]
+        known = [(l, x * a + y * b) for l, a, b in rows if a is not None]
+        assert (r.pr_auc, r.roc_auc) == pytest.approx(brute_areas(*zip(*known)), abs=1e-6)
+
+
 def test_curve_is_monotone(scored):
     pts = curve_points(scored, F.col("p")).orderBy(F.col("threshold").desc()).collect()
     assert all(a.recall <= b.recall and a.fpr <= b.fpr for a, b in zip(pts, pts[1:]))
