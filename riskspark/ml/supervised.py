@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskspark.config import FEATURES, SPLIT_SEED
 from riskspark.functions.numeric import half_even
+from riskspark.ml import boosting
 from riskspark.operators.curves import curve_areas
 from riskspark.operators.metrics import metrics_at
 from riskspark.operators.split import hash_order
@@ -87,6 +88,10 @@ def _fit(name: str, df: DataFrame, stages: list, features: Sequence[str]) -> Fra
     return FraudModel(name, Pipeline(stages=[_assembler(features), *stages]).fit(df), tuple(features))
 
 
+def _fit_boosting(name: str, df: DataFrame, boosted: GBTClassifier, features: Sequence[str]) -> FraudModel:
+    return FraudModel(name, PipelineModel([_assembler(features), boosting.fit(boosted, df, features)]), tuple(features))
+
+
 def fit_logistic(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "is_fraud", max_iter: int = 1000) -> FraudModel:
     """Standardized, class-balanced, L2 with strength 1 / total weight (balanced weights sum to the rows)."""
     weighted = balanced_weights(df, label)
@@ -113,7 +118,7 @@ def fit_histogram_boosting(
     boosted = GBTClassifier(
         featuresCol="_x", labelCol=label, weightCol=WEIGHT, maxIter=rounds, maxDepth=depth, stepSize=rate, maxBins=255, seed=seed
     )
-    return _fit("HistGradientBoosting", balanced_weights(df, label), [boosted], features)
+    return _fit_boosting("HistGradientBoosting", balanced_weights(df, label), boosted, features)
 
 
 def fit_boosted(df: DataFrame, params: dict, features: Sequence[str] = FEATURES, label: str = "is_fraud", seed: int = SPLIT_SEED) -> FraudModel:
@@ -123,7 +128,7 @@ def fit_boosted(df: DataFrame, params: dict, features: Sequence[str] = FEATURES,
         maxDepth=params.get("max_depth", 6), stepSize=params.get("learning_rate", 0.08),
         subsamplingRate=params.get("subsample", 0.85), featureSubsetStrategy=str(params.get("colsample", 0.85)), seed=seed,
     )
-    return _fit("BoostedTrees", positive_weights(df, params.get("scale_pos_weight", POSITIVE_WEIGHT), label), [boosted], features)
+    return _fit_boosting("BoostedTrees", positive_weights(df, params.get("scale_pos_weight", POSITIVE_WEIGHT), label), boosted, features)
 
 
 def validation_scores(models: Sequence[FraudModel], df: DataFrame, label: str = "is_fraud") -> DataFrame:
