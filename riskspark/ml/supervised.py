@@ -131,11 +131,16 @@ def fit_boosted(df: DataFrame, params: dict, features: Sequence[str] = FEATURES,
     return _fit_boosting("BoostedTrees", positive_weights(df, params.get("scale_pos_weight", POSITIVE_WEIGHT), label), boosted, features)
 
 
+def _scores(model: FraudModel, df: DataFrame, *columns: str) -> DataFrame:
+    """Columns and probability, written: a plan over the model would score a row again for each use of the probability."""
+    return stored(model.with_probability(df).select(*columns, "p_ml"), "scores")
+
+
 def validation_scores(models: Sequence[FraudModel], df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """PR-AUC and ROC-AUC per model on one held-out frame."""
     rows = []
     for place, model in enumerate(models):
-        area = curve_areas(model.with_probability(df), F.col("p_ml"), label, digits=6)
+        area = curve_areas(_scores(model, df, label), F.col("p_ml"), label, digits=6)
         rows.append(area.withColumns({"model": F.lit(model.name), "place": F.lit(place)}))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
@@ -152,11 +157,15 @@ def search(
 ) -> tuple[FraudModel, DataFrame]:
     """Fit every setting on the (kept) training frame, compare on the held-out frame; first wins a tie."""
     kept = train.persist()
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:  # fits of one frame share its blocks and fill each other's waits
-        models = list(pool.map(lambda params: fit(kept, params), grid))
+
+    def tried(params: dict) -> tuple[FraudModel, DataFrame]:
+        model = fit(kept, params)
+        return model, _scores(model, held, "is_fraud", "amt")
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:  # fits of one frame share it and fill each other's waits
+        models, scores = zip(*pool.map(tried, grid))
     rows = []
-    for trial, (params, model) in enumerate(zip(grid, models), 1):
-        scored = model.with_probability(held)
+    for trial, (params, scored) in enumerate(zip(grid, scores), 1):
         area = curve_areas(scored, F.col("p_ml"), digits=5).select(F.struct("*")).scalar()
         at = metrics_at(scored, "p_ml", 0.5).withColumn("_area", area)
         rows.append(

@@ -121,3 +121,18 @@ def test_odd_rows(spark, rows):
     flat = fitted(rows.selectExpr("1.0 as a", "2 as b", "true as c", "is_fraud", "trans_num"), rounds=2)
     assert [t.numNodes for t in flat.classifier.trees] == [1, 1]
     assert [t.numNodes for t in fitted(rows, rounds=2, depth=0).classifier.trees] == [1, 1]
+
+
+def test_candidates_are_scored_once(rows, monkeypatch):
+    """Areas and costs are read from written probabilities, not from a plan that scores a row for each use."""
+    plans = []
+    for name in ("curve_areas", "metrics_at"):
+        own = getattr(supervised, name)
+        monkeypatch.setattr(supervised, name, lambda df, *a, own=own, **k: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df, *a, **k))
+    df = rows.selectExpr("*", "abs(a) as amt")
+    grid = [{"n_estimators": 2, "max_depth": d, "learning_rate": 0.1, "scale_pos_weight": 2.0} for d in (2, 1)]
+    best, history = supervised.search(df, df, grid, lambda train, params: supervised.fit_boosted(train, params, FEATURES))
+    poor = supervised.fit_boosted(df, grid[1], ("c",))
+    chosen, areas = supervised.select_model([poor, best], df)
+    assert chosen is best and [r.trial for r in history.orderBy("trial").collect()] == [1, 2] and areas.count() == 2
+    assert len(plans) == 6 and not any("UDF" in plan for plan in plans)
